@@ -1,6 +1,7 @@
 """Lazy tables shared by the registered queries."""
 
-from functools import cached_property
+from collections.abc import Callable, Mapping
+from functools import cached_property, partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,6 +23,24 @@ def settle(df: DataFrame, digits: int = 4) -> DataFrame:
     )
 
 
+class LazyTables(Mapping):
+    """Named tables, each built on first use: a query on one table builds no other."""
+
+    def __init__(self, builders: dict[str, Callable[[], DataFrame]]):
+        self._builders, self._built = builders, {}
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self._built:
+            self._built[name] = self._builders[name]()
+        return self._built[name]
+
+    def __iter__(self):
+        return iter(self._builders)
+
+    def __len__(self):
+        return len(self._builders)
+
+
 class Lake:
     """The raw, cleansed and gold tables over one warehouse folder; nothing runs until an action."""
 
@@ -29,16 +48,19 @@ class Lake:
         self.spark, self.sf_dir = spark, sf_dir
 
     @cached_property
-    def raw(self) -> dict[str, DataFrame]:
-        return raw.raw_tables(self.spark, self.sf_dir)
+    def raw(self) -> LazyTables:
+        return LazyTables({n: partial(build, self.spark, self.sf_dir) for n, build in raw.RAW_TABLES.items()})
+
+    def _cleansed(self, rules: dict) -> LazyTables:
+        return LazyTables({name: (lambda n=name: self.raw[n].transform(rules[n])) for name in self.raw})
 
     @cached_property
-    def cast_first(self) -> dict[str, DataFrame]:
-        return silver.silver_tables(self.raw, silver.CAST_FIRST)
+    def cast_first(self) -> LazyTables:
+        return self._cleansed(silver.CAST_FIRST)
 
     @cached_property
-    def strip_first(self) -> dict[str, DataFrame]:
-        return silver.silver_tables(self.raw, silver.STRIP_FIRST)
+    def strip_first(self) -> LazyTables:
+        return self._cleansed(silver.STRIP_FIRST)
 
     @cached_property
     def labels(self) -> DataFrame:

@@ -61,7 +61,7 @@ from events"""
 
 CTES["predictions"] = """
 select Customer_ID, snapshot_date, 'credit_model_1998_12_01.pkl' as model_name,
-  avg(case when due_amt > 0 then overdue_amt / due_amt / 3 else 0 end) as model_predictions
+  round(avg(case when due_amt > 0 then overdue_amt / due_amt / 3 else 0 end), 9) as model_predictions
 from loan group by Customer_ID, snapshot_date"""
 
 CTES["on_book"] = f"""

@@ -1,7 +1,9 @@
 """The registered queries: name -> function of (spark, warehouse folder)."""
 
 from collections.abc import Callable
+from dataclasses import replace
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -10,6 +12,7 @@ from creditloom.operators import (
     distribution, drift, features, labels, metrics, modelling, profile, silver, splits,
 )
 from creditloom.operators.joins import many_to_one
+from creditloom.plans import monitoring, scoring, training
 from creditloom.sources import calendar, tables
 from creditloom.sources.raw import SCORE_MODEL
 
@@ -504,3 +507,114 @@ def one_hot(lake: Lake) -> DataFrame:
 @query
 def class_weights(lake: Lake) -> DataFrame:
     return settle(modelling.class_weights(lake.labels), 6)
+
+
+# -- models -----------------------------------------------------------------------------------
+#
+# Small fixed settings keep a registered run short; the tuned defaults live in ``plans.training``.
+
+FOREST = {"numTrees": 20, "maxDepth": 5}
+BOOSTING = {"maxIter": 10, "maxDepth": 3}
+SHORT_SEARCH = training.Search(n_iter=2, folds=2)
+SHORT_FOREST = replace(training.RANDOM_FOREST, space={"numTrees": (5, 20), "maxDepth": (3, 6), "minInstancesPerNode": (1, 10)})
+
+
+def assembled(lake: Lake, inputs: training.Inputs) -> DataFrame:
+    data = tuned_data(lake)
+    prepared = training.preprocessing(data.where(F.col("split") == "train"), inputs)
+    return prepared.transform(data).select(*ROW_KEY, "split", "label", vector_to_array("features").alias("features"))
+
+
+def quality(trained: training.Trained) -> DataFrame:
+    return settle(trained.metrics, 6)
+
+
+def monthly_model(lake: Lake) -> training.Trained:
+    data = modelling.training_set(monthly_splits(lake), lake.features)
+    return training.train(data, training.MONTHLY, ROW_KEY, params=BOOSTING)
+
+
+@query
+def tree_features(lake: Lake) -> DataFrame:
+    return assembled(lake, training.TREE_INPUTS)
+
+
+@query
+def linear_features(lake: Lake) -> DataFrame:
+    return assembled(lake, training.LINEAR_INPUTS)
+
+
+@query
+def train_random_forest(lake: Lake) -> DataFrame:
+    return quality(training.train(tuned_data(lake), training.RANDOM_FOREST, ROW_KEY, FOREST))
+
+
+@query
+def train_random_forest_scaled(lake: Lake) -> DataFrame:
+    return quality(training.train(tuned_data(lake), training.RANDOM_FOREST_SCALED, ROW_KEY, FOREST))
+
+
+@query
+def train_gbt(lake: Lake) -> DataFrame:
+    return quality(training.train(tuned_data(lake), training.GRADIENT_BOOSTING, ROW_KEY, BOOSTING))
+
+
+@query
+def train_logistic(lake: Lake) -> DataFrame:
+    return quality(training.train(tuned_data(lake), training.LOGISTIC, ROW_KEY))
+
+
+@query
+def random_search(lake: Lake) -> DataFrame:
+    """Metrics of the best of the drawn settings, with its cross-validated recall."""
+    trained = training.train(tuned_data(lake), SHORT_FOREST, ROW_KEY, search=SHORT_SEARCH)
+    return quality(trained).withColumns(
+        {"cv_score": F.lit(trained.cv_score), "params": F.lit(str(sorted(trained.params.items())))}
+    )
+
+
+@query
+def model_round_trip(lake: Lake) -> DataFrame:
+    """Scores of a stored and reloaded model against those of the model in memory."""
+    trained = monthly_model(lake)
+    path = tables.shared_dir(lake.spark, "model")
+    windows = calendar.month_windows(TRAIN_DATE)
+    training.save(trained, path, TRAIN_DATE, windows, splits.split_stats(monthly_splits(lake)), lake.spark)
+    loaded, facts = training.load(lake.spark, path)
+    rows = tables.at_snapshot(lake.features, SNAPSHOT)
+    before = training.score(trained.model, rows).select("Customer_ID", "snapshot_date", "model_predictions")
+    after = scoring.predictions(loaded, rows, SCORE_MODEL).select(
+        "Customer_ID", "snapshot_date", F.col("model_predictions").alias("reloaded")
+    )
+    same = F.count_if(F.col("model_predictions") == F.col("reloaded"))
+    compared = before.join(after, ["Customer_ID", "snapshot_date"]).agg(F.count("*").alias("n_rows"), same.alias("n_equal"))
+    return compared.withColumn("model_version", facts.select("model_version").scalar())
+
+
+@query
+def score_snapshot(lake: Lake) -> DataFrame:
+    scores = scoring.score_snapshot(monthly_model(lake).model, lake.features, SNAPSHOT, SCORE_MODEL)
+    return settle(scores, 6)
+
+
+@query
+def feature_importance_topk(lake: Lake) -> DataFrame:
+    trained = training.train(tuned_data(lake), training.RANDOM_FOREST, ROW_KEY, FOREST)
+    return settle(training.top_features(lake.spark, trained), 6)
+
+
+@query
+def model_runs(lake: Lake) -> DataFrame:
+    """Two runs appended to one table."""
+    path = tables.shared_dir(lake.spark, "runs")
+    for recipe, params in ((training.RANDOM_FOREST, FOREST), (training.LOGISTIC, {})):
+        trained = training.train(tuned_data(lake), recipe, ROW_KEY, params)
+        training.append_runs(training.run_log(trained, TRAIN_DATE), path)
+    return settle(lake.spark.read.parquet(path).select("model_type", "train_date", "split", "metric", "value"), 6)
+
+
+@query
+def monitor_report(lake: Lake) -> DataFrame:
+    row = monitoring.report(lake.predictions, SCORE_MODEL, SNAPSHOT, BASELINE, lake.labels)
+    monitoring.write_report(row, tables.shared_dir(lake.spark, "monitoring"))
+    return row

@@ -2,30 +2,31 @@
 
 A window without a partition, or an exact percentile aggregate, brings every value to one task.
 Here copies of a value collapse first; the distinct values are then cut into ranges of about equal
-size, running totals are taken inside each range in parallel, and only the totals per range (at
-most ``ranges`` rows per group) are accumulated in order.
+size, as many as the session has shuffle partitions, running totals are taken inside each range in
+parallel, and only the totals per range are accumulated in order.
 """
 
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-RANGES = 1024
+# Bounds of the number of ranges, whatever the session asks for.
+MIN_RANGES, MAX_RANGES = 64, 8192
 DECILES = [i / 10 for i in range(11)]
 
 
-def range_cuts(df: DataFrame, value: str, ranges: int = RANGES) -> list[float]:
-    """Approximate equi-depth cut points: a list whose length is fixed by ``ranges``.
+def range_cuts(df: DataFrame, value: str) -> list[float]:
+    """Approximate equi-depth cut points: at most ``MAX_RANGES`` numbers.
 
     Any cut points give exact results downstream; good ones give even tasks.
     """
+    asked = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranges = max(MIN_RANGES, min(MAX_RANGES, asked))
     found = df.approxQuantile(value, [i / ranges for i in range(1, ranges)], 1 / (4 * ranges))
     return sorted(set(found)) or [0.0]
 
 
-def running_totals(
-    df: DataFrame, value: str, weights: dict[str, Column], by: tuple[str, ...] = (), ranges: int = RANGES
-) -> DataFrame:
+def running_totals(df: DataFrame, value: str, weights: dict[str, Column], by: tuple[str, ...] = ()) -> DataFrame:
     """One row per distinct value (per group) with, for each weight ``w``: ``w`` its sum at the
     value, ``w_below`` its sum over smaller values, ``w_total`` its sum over the group.
 
@@ -34,7 +35,7 @@ def running_totals(
     by = list(by)
     number = F.col(value).cast("double")
     usable = df.where(number.isNotNull() & ~F.isnan(number)).withColumn(value, number)
-    cuts = range_cuts(usable, value, ranges)
+    cuts = range_cuts(usable, value)
     distinct = usable.groupBy(*by, value).agg(*[F.sum(c).alias(w) for w, c in weights.items()])
     ranged = Bucketizer(
         splits=[float("-inf"), *cuts, float("inf")], inputCol=value, outputCol="_range"

@@ -124,12 +124,15 @@ def clickstream(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Scores in [0, 1] per customer and month, all under one model name."""
+    """Scores in [0, 1] per customer and month, all under one model name.
+
+    Kept to nine decimals, so that equal scores stay equal in whatever order their parts were added.
+    """
     due, overdue = F.col("due_amt"), F.col("overdue_amt")
     return (
         loan_daily(spark, sf_dir)
         .groupBy("Customer_ID", "snapshot_date")
-        .agg(F.avg(F.when(due > 0, overdue / due / 3).otherwise(0.0)).alias("model_predictions"))
+        .agg(F.round(F.avg(F.when(due > 0, overdue / due / 3).otherwise(0.0)), 9).alias("model_predictions"))
         .select("Customer_ID", "snapshot_date", F.lit(SCORE_MODEL).alias("model_name"), "model_predictions")
     )
 

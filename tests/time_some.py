@@ -1,0 +1,9 @@
+import time,sys
+from tests.conftest import session
+from tests.compare import difference, oracle
+from __spark_entry__ import queries, oracle_sql
+sf=sys.argv[1]
+s=session(); con=oracle(sf); q=queries(); o=oracle_sql()
+for n in sys.argv[2:]:
+    t=time.time(); df=q[n](s,sf); t1=time.time(); r=df.collect(); t2=time.time(); con.execute(o[n]).fetchall(); t3=time.time()
+    print(n,"build",round(t1-t,2),"run",round(t2-t1,2),"duck",round(t3-t2,2), difference(df,con,o[n]),flush=True)
