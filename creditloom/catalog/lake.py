@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from creditloom.operators import features, labels, silver
 from creditloom.sources import raw
+from creditloom.sources.session import tune
 
 # Added before rounding: lifts exact decimal ties, on which engines differ, off the edge.
 TIE_LIFT = 1e-9
@@ -45,7 +46,7 @@ class Lake:
     """The raw, cleansed and gold tables over one warehouse folder; nothing runs until an action."""
 
     def __init__(self, spark: SparkSession, sf_dir: str):
-        self.spark, self.sf_dir = spark, sf_dir
+        self.spark, self.sf_dir = tune(spark), sf_dir
 
     @cached_property
     def raw(self) -> LazyTables:

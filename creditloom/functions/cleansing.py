@@ -21,14 +21,28 @@ HISTORY_YEARS = r"^(\d+)\s*Years"
 HISTORY_MONTHS = r"and\s*(\d+)\s*Months"
 
 
+def safe_cast(text: Column, type_name: str) -> Column:
+    """``try_cast`` of text, skipped for what is plainly no number.
+
+    A failing cast costs an exception per value; no number holds an underscore or an inner blank,
+    and nothing is left to cast in an empty text.
+    """
+    hopeless = text.contains("_") | F.trim(text).contains(" ") | (text == "")
+    return F.when(~hopeless, text.try_cast(type_name))
+
+
 def lenient_int(c: Column) -> Column:
     """Text to int as a non-ANSI cast does it: a decimal part is cut off, junk gives NULL."""
-    return F.regexp_extract(F.trim(c.cast("string")), r"^([+-]?\d+)(\.\d*)?$", 1).try_cast("int")
+    text = c.cast("string")
+    whole = F.regexp_extract(F.trim(text), r"^([+-]?\d+)\.\d*$", 1)
+    return F.when(text.contains("."), safe_cast(whole, "int")).otherwise(safe_cast(text, "int"))
 
 
 def early_cast(c: Column, type_name: str) -> Column:
     """Type a raw value before any cleansing."""
-    return lenient_int(c) if type_name == "int" else c.try_cast(type_name)
+    if type_name == "int":
+        return lenient_int(c)
+    return safe_cast(c.cast("string"), type_name) if type_name == "double" else c.try_cast(type_name)
 
 
 def strip_underscores(c: Column) -> Column:
@@ -75,6 +89,6 @@ def history_months(text: Column) -> Column:
     """``N Years and M Months`` as months; a part that does not parse counts 0."""
 
     def part(pattern: str) -> Column:
-        return F.coalesce(F.regexp_extract(text, pattern, 1).try_cast("double"), F.lit(0.0))
+        return F.coalesce(safe_cast(F.regexp_extract(text, pattern, 1), "double"), F.lit(0.0))
 
     return F.coalesce(part(HISTORY_YEARS) * 12 + part(HISTORY_MONTHS), F.lit(0.0))

@@ -153,7 +153,7 @@ def financials_clean(df: DataFrame) -> DataFrame:
 def financials_strip_first(df: DataFrame) -> DataFrame:
     """Safe casts of the raw text, two bounds, zeros for what is missing, then declared types."""
     numerics = [c for c in FINANCIAL_NUMERICS if c in df.columns and c != "Credit_History_Age"]
-    bounded = _bounded(numerics, STRIP_FIRST_BOUNDS, lambda c: F.col(c).try_cast("double"))
+    bounded = _bounded(numerics, STRIP_FIRST_BOUNDS, lambda c: cl.safe_cast(F.col(c).cast("string"), "double"))
     columns = {c: F.coalesce(v, F.lit(0.0)) for c, v in bounded.items()}
     if "Credit_History_Age" in df.columns:
         columns["Credit_History_Age"] = cl.history_months(F.col("Credit_History_Age").cast("string"))

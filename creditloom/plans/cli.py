@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from creditloom.operators import drift, labels, modelling, silver, splits
 from creditloom.plans import monitoring, scoring, stages, training
 from creditloom.sources import calendar, tables
+from creditloom.sources.session import tune
 
 RULES = {"cast_first": silver.CAST_FIRST, "strip_first": silver.STRIP_FIRST}
 RECIPES = {
@@ -21,7 +22,7 @@ KEY = ["loan_id", "Customer_ID", "snapshot_date"]
 
 def session(app: str) -> SparkSession:
     """Cluster settings (master, memory, shuffle partitions) come from spark-submit."""
-    return (
+    return tune(
         SparkSession.builder.appName(f"creditloom-{app}")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
