@@ -357,7 +357,8 @@ def oot_split(lake: Lake) -> DataFrame:
 
 def train_test_rows(lake: Lake) -> DataFrame:
     window = calendar.month_windows(TRAIN_DATE)[1]
-    return lake.labels.where(window.covers(F.col("snapshot_date"))).select(*ROW_KEY, "label")
+    rows = lake.labels.where(window.covers(F.col("snapshot_date"))).select(*ROW_KEY, "label")
+    return tables.materialise(rows, "train-test-rows")
 
 
 @query
@@ -367,7 +368,7 @@ def stratified_split(lake: Lake) -> DataFrame:
 
 @query
 def stratified_folds(lake: Lake) -> DataFrame:
-    return splits.stratified_folds(lake.labels.select(*ROW_KEY, "label"), ROW_KEY)
+    return splits.stratified_folds(tables.materialise(lake.labels.select(*ROW_KEY, "label"), "fold-rows"), ROW_KEY)
 
 
 @query
@@ -405,7 +406,9 @@ def model_matrix(lake: Lake) -> DataFrame:
 
 
 def score_pair(lake: Lake) -> tuple[DataFrame, DataFrame]:
-    return tables.at_snapshot(lake.predictions, BASELINE), tables.at_snapshot(lake.predictions, SNAPSHOT)
+    both = lake.predictions.where(F.col("snapshot_date").isin(BASELINE, SNAPSHOT))
+    stored = tables.materialise(both, "score-pair")
+    return tables.at_snapshot(stored, BASELINE), tables.at_snapshot(stored, SNAPSHOT)
 
 
 @query
@@ -445,7 +448,8 @@ def drift_alert(lake: Lake) -> DataFrame:
 
 
 def scored_labels(lake: Lake) -> DataFrame:
-    return many_to_one(lake.labels.select(*LABEL_KEYS, "label"), lake.predictions)
+    scored = many_to_one(lake.labels.select(*LABEL_KEYS, "label"), lake.predictions)
+    return tables.materialise(scored.select("snapshot_date", "label", "model_predictions"), "scored-labels")
 
 
 @query
@@ -466,7 +470,7 @@ def auc_gini_by_split(lake: Lake) -> DataFrame:
 
 @query
 def label_metrics(lake: Lake) -> DataFrame:
-    current = tables.at_snapshot(lake.predictions, SNAPSHOT)
+    current = tables.materialise(tables.at_snapshot(lake.predictions, SNAPSHOT), "current-scores")
     return settle(metrics.label_metrics(current, lake.labels, "model_predictions"), 6)
 
 
@@ -491,7 +495,7 @@ def tuned_data(lake: Lake) -> DataFrame:
 @query
 def scaled_features(lake: Lake) -> DataFrame:
     """Inputs of the monthly model, standardised with the parameters of the train window."""
-    data = tuned_data(lake)
+    data = tables.materialise(tuned_data(lake), "tuned-rows")
     inputs = modelling.monthly_features(data)
     parameters = modelling.scale_parameters(data.where(F.col("split") == "train"), inputs)
     scaled = modelling.scale(data, parameters)
@@ -520,7 +524,7 @@ SHORT_FOREST = replace(training.RANDOM_FOREST, space={"numTrees": (5, 20), "maxD
 
 
 def assembled(lake: Lake, inputs: training.Inputs) -> DataFrame:
-    data = tuned_data(lake)
+    data = tables.materialise(tuned_data(lake), "tuned-rows")
     prepared = training.preprocessing(data.where(F.col("split") == "train"), inputs)
     return prepared.transform(data).select(*ROW_KEY, "split", "label", vector_to_array("features").alias("features"))
 
@@ -615,6 +619,7 @@ def model_runs(lake: Lake) -> DataFrame:
 
 @query
 def monitor_report(lake: Lake) -> DataFrame:
-    row = monitoring.report(lake.predictions, SCORE_MODEL, SNAPSHOT, BASELINE, lake.labels)
+    base, current = score_pair(lake)
+    row = monitoring.report(base.unionByName(current), SCORE_MODEL, SNAPSHOT, BASELINE, lake.labels)
     monitoring.write_report(row, tables.shared_dir(lake.spark, "monitoring"))
     return row

@@ -83,12 +83,14 @@ def customer_base(tables: dict[str, DataFrame]) -> DataFrame:
 
 
 def attribute_features(attributes: DataFrame) -> DataFrame:
-    return attributes.select(*KEYS, *[c for c in ATTRIBUTE_FEATURES if c in attributes.columns])
+    present = set(attributes.columns)
+    return attributes.select(*KEYS, *[c for c in ATTRIBUTE_FEATURES if c in present])
 
 
 def financial_features(financials: DataFrame, products=tuple(LOAN_PRODUCTS), columns=tuple(FINANCIAL_FEATURES)) -> DataFrame:
     hot = multi_hot(financials, list(products)) if "Type_of_Loan" in financials.columns else financials
-    return hot.select(*KEYS, *[c for c in columns if c in hot.columns], *product_columns(hot))
+    present = hot.columns
+    return hot.select(*KEYS, *[c for c in columns if c in present], *[c for c in present if c.startswith(PRODUCT_PREFIX)])
 
 
 def loan_features(loans: DataFrame) -> DataFrame:
@@ -127,7 +129,8 @@ def click_features_short(clicks: DataFrame) -> DataFrame:
 def fill_features(df: DataFrame, text_columns: list[str]) -> DataFrame:
     """0 for int and floating columns, "Unknown" for text; bigint columns keep their NULLs."""
     numeric = [c for c, t in df.dtypes if t in ("int", "float", "double")]
-    return df.fillna(0, subset=numeric).fillna(UNKNOWN, subset=[c for c in text_columns if c in df.columns])
+    present = set(df.columns)
+    return df.fillna(0, subset=numeric).fillna(UNKNOWN, subset=[c for c in text_columns if c in present])
 
 
 def _snapshot_text() -> Column:

@@ -35,7 +35,8 @@ def at_least(value: Column, threshold: int) -> Column:
 
 
 def keep_existing(df: DataFrame, columns: list[str]) -> DataFrame:
-    return df.select(*[c for c in columns if c in df.columns])
+    present = set(df.columns)
+    return df.select(*[c for c in columns if c in present])
 
 
 def label_store(loans: DataFrame, rule: LabelRule = PAYMENT_RULE) -> DataFrame:

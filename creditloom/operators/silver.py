@@ -40,8 +40,8 @@ def replace(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
 
 def enforce(df: DataFrame, table: str, caster=cl.early_cast) -> DataFrame:
     """Cast every declared column that is present; others pass unchanged."""
-    types = TABLE_TYPES[table]
-    return replace(df, {c: caster(F.col(c), t) for c, t in types.items() if c in df.columns})
+    present = set(df.columns)
+    return replace(df, {c: caster(F.col(c), t) for c, t in TABLE_TYPES[table].items() if c in present})
 
 
 def enforce_early(df: DataFrame, table: str) -> DataFrame:
@@ -64,7 +64,8 @@ def with_customer(df: DataFrame) -> DataFrame:
 def clickstream(df: DataFrame) -> DataFrame:
     """Counters without a value count 0."""
     typed = enforce_late(df, "clickstream")
-    return with_customer(typed.fillna(0, subset=[c for c in CLICKSTREAM_COUNTERS if c in typed.columns]))
+    present = set(typed.columns)
+    return with_customer(typed.fillna(0, subset=[c for c in CLICKSTREAM_COUNTERS if c in present]))
 
 
 # -- attributes -------------------------------------------------------------------------------
@@ -99,7 +100,8 @@ def _bounded(columns: list[str], bounds: dict[str, dict], value) -> dict[str, Co
 
 
 def _categories(df: DataFrame) -> dict[str, Column]:
-    return {c: cl.or_unknown(F.col(c)) for c in FINANCIAL_CATEGORIES if c in df.columns}
+    present = set(df.columns)
+    return {c: cl.or_unknown(F.col(c)) for c in FINANCIAL_CATEGORIES if c in present}
 
 
 def _scrub_categories(df: DataFrame) -> DataFrame:
@@ -130,7 +132,8 @@ def impute_median(df: DataFrame, columns: list[str], by: str = "snapshot_date",
 def financials_cast_first(df: DataFrame) -> DataFrame:
     """Typed raw, bounded, median per snapshot; every number ends as double."""
     typed = enforce_early(df, "financials")
-    numerics = [c for c in FINANCIAL_NUMERICS if c in typed.columns]
+    present = set(typed.columns)
+    numerics = [c for c in FINANCIAL_NUMERICS if c in present]
     bounded = replace(typed, _bounded(numerics, CAST_FIRST_BOUNDS, lambda c: F.col(c).cast("double")))
     scrubbed = _scrub_categories(bounded)
     imputed = impute_median(scrubbed, numerics)
@@ -140,9 +143,10 @@ def financials_cast_first(df: DataFrame) -> DataFrame:
 def financials_clean(df: DataFrame) -> DataFrame:
     """As ``financials_cast_first``, but underscores are stripped before typing and the history
     text is parsed, so that readable values survive."""
-    texts = [c for c in FINANCIAL_NUMERICS if c in df.columns and c != "Credit_History_Age"]
+    present = set(df.columns)
+    texts = [c for c in FINANCIAL_NUMERICS if c in present and c != "Credit_History_Age"]
     readable = {c: cl.strip_underscores(F.col(c)) for c in texts}
-    if "Credit_History_Age" in df.columns:
+    if "Credit_History_Age" in present:
         history = F.col("Credit_History_Age")
         readable["Credit_History_Age"] = F.when(
             history.rlike(cl.HISTORY_YEARS) | history.rlike(cl.HISTORY_MONTHS), cl.history_months(history)
@@ -152,10 +156,11 @@ def financials_clean(df: DataFrame) -> DataFrame:
 
 def financials_strip_first(df: DataFrame) -> DataFrame:
     """Safe casts of the raw text, two bounds, zeros for what is missing, then declared types."""
-    numerics = [c for c in FINANCIAL_NUMERICS if c in df.columns and c != "Credit_History_Age"]
+    present = set(df.columns)
+    numerics = [c for c in FINANCIAL_NUMERICS if c in present and c != "Credit_History_Age"]
     bounded = _bounded(numerics, STRIP_FIRST_BOUNDS, lambda c: cl.safe_cast(F.col(c).cast("string"), "double"))
     columns = {c: F.coalesce(v, F.lit(0.0)) for c, v in bounded.items()}
-    if "Credit_History_Age" in df.columns:
+    if "Credit_History_Age" in present:
         columns["Credit_History_Age"] = cl.history_months(F.col("Credit_History_Age").cast("string"))
     return with_customer(enforce_late(replace(df, {**columns, **_categories(df)}), "financials"))
 

@@ -25,6 +25,7 @@ def session(app: str) -> SparkSession:
     return tune(
         SparkSession.builder.appName(f"creditloom-{app}")
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .getOrCreate()

@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from creditloom.operators import metrics, modelling, splits
-from creditloom.sources.tables import shared_dir
+from creditloom.sources.tables import materialise
 
 SCORE = "model_predictions"
 
@@ -241,14 +241,6 @@ def random_search(recipe: Recipe, matrix: DataFrame, search: Search) -> tuple[di
 # -- training ---------------------------------------------------------------------------------
 
 
-def settled(df: DataFrame, purpose: str) -> DataFrame:
-    """Write once to the shared folder and read back: iterations neither recompute the joins nor
-    depend on blocks of an executor that may be lost."""
-    path = shared_dir(df.sparkSession, purpose)
-    df.write.parquet(path)
-    return df.sparkSession.read.parquet(path)
-
-
 @dataclass
 class Trained:
     """A fitted pipeline with what is known about it."""
@@ -286,7 +278,7 @@ def train(
     """
     inputs = recipe.inputs or Inputs(modelling.monthly_features(data), scaled=True)
     columns = [*key, "split", "label", *inputs.names]
-    rows = settled(data.select(*[modelling.named(c) for c in columns]), "training-rows")
+    rows = materialise(data.select(*[modelling.named(c) for c in columns]), "training-rows")
     train_rows = rows.where(F.col("split") == "train")
     prepared = preprocessing(train_rows, inputs)
 
@@ -299,7 +291,8 @@ def train(
     extra = ["fold"] if search else []
     transformed = prepared.transform(train_rows)
     names = input_names(transformed)
-    matrix = settled(transformed.select("features", F.col("label").cast("double").alias("label"), "weight", *extra), "training-matrix")
+    inputs_only = transformed.select("features", F.col("label").cast("double").alias("label"), "weight", *extra)
+    matrix = materialise(inputs_only, "training-matrix")
 
     setting, cv_score = dict(params or {}), None
     if search:

@@ -4,6 +4,8 @@ The warehouse (orders, lineitem, customer, events) stands in for the lending sys
 is a lazy frame over every row; joins use the numeric customer key and give text keys at the end.
 """
 
+from functools import lru_cache
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -57,7 +59,9 @@ FINANCIAL_RULES = {
 }
 
 
+@lru_cache(maxsize=64)
 def warehouse(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
+    """A warehouse table; its footers are read once per session."""
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 

@@ -29,6 +29,17 @@ def shared_dir(spark: SparkSession, purpose: str) -> str:
     return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
 
 
+def materialise(df: DataFrame, purpose: str) -> DataFrame:
+    """Write once to the shared folder and read back.
+
+    For frames that several jobs go over: they neither repeat the joins behind it nor depend on
+    blocks of an executor that may be lost.
+    """
+    path = shared_dir(df.sparkSession, purpose)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def write_snapshots(df: DataFrame, path: str, partition_by=(PARTITION,)) -> None:
     """Replace the partitions present in ``df``; other snapshots stay."""
     (
