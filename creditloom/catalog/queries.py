@@ -40,7 +40,7 @@ def query(build: Callable[[Lake], DataFrame]) -> Callable[[Lake], DataFrame]:
 @query
 def csv_round_trip(lake: Lake) -> DataFrame:
     path = tables.shared_dir(lake.spark, "csv")
-    tables.write_csv(lake.raw["financials"], path)
+    tables.write_csv(lake.raw["financials"], path, "financials")
     return tables.read_csv(lake.spark, path, "financials")
 
 
@@ -50,7 +50,7 @@ def bronze_ingest(lake: Lake) -> DataFrame:
     root = tables.shared_dir(lake.spark, "bronze")
     written = {}
     for name, df in lake.raw.items():
-        tables.write_csv(df, f"{root}/{name}")
+        tables.write_csv(df, f"{root}/{name}", name)
         written[name] = tables.read_csv(lake.spark, f"{root}/{name}", name)
     return profile.table_profile(written)
 

@@ -84,11 +84,11 @@ def months(spark: SparkSession, df: DataFrame, start: str, end: str) -> DataFram
 
 
 def optional(read) -> DataFrame | None:
-    """A table, or None where its folder does not exist."""
+    """A table, or None where its folder does not exist or holds no file yet."""
     try:
         return read()
     except AnalysisException as error:
-        if error.getCondition() == "PATH_NOT_FOUND":
+        if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
             return None
         raise
 
@@ -96,7 +96,7 @@ def optional(read) -> DataFrame | None:
 def ingest(sources: dict[str, DataFrame], layout: Layout, span: Span = Span()) -> None:
     """Source tables to raw text, partitioned by snapshot."""
     for name, df in sources.items():
-        tables.write_csv(span.apply(df), layout.bronze(name))
+        tables.write_csv(span.apply(df), layout.bronze(name), name)
 
 
 def source_files(spark: SparkSession, paths: dict[str, str]) -> dict[str, DataFrame]:

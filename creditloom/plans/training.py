@@ -233,7 +233,7 @@ def random_search(recipe: Recipe, matrix: DataFrame, search: Search) -> tuple[di
         foldCol="fold",
         parallelism=search.parallelism,
     )
-    scores = validator.fit(matrix).avgMetrics
+    scores = [float(m) for m in validator.fit(matrix).avgMetrics]
     best = max(range(len(settings)), key=lambda i: scores[i])
     return settings[best], scores[best], scores
 

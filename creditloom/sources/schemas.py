@@ -4,8 +4,6 @@ Raw sources are read as text wherever a value can be dirty, so that nothing is l
 cleansing step decides what a value means.  Amounts are double from the cleansed layer on.
 """
 
-from pyspark.sql import types as T
-
 KEYS = ["Customer_ID", "snapshot_date"]
 
 # The column names of the input tables and their declared types.
@@ -74,7 +72,3 @@ TABLE_TYPES = {
 
 FINANCIAL_NUMERICS = [c for c, t in FINANCIAL_TYPES.items() if t in ("int", "double")]
 
-
-def raw_schema(table: str) -> T.StructType:
-    """Explicit schema for reading a raw CSV: text for every column."""
-    return T.StructType([T.StructField(c, T.StringType()) for c in TABLE_TYPES[table]])

@@ -11,7 +11,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from creditloom.sources.schemas import raw_schema
+from creditloom.sources.schemas import TABLE_TYPES
 
 PARTITION = "snapshot_date"
 
@@ -85,10 +85,11 @@ def between_snapshots(df: DataFrame, start: str, end: str) -> DataFrame:
     return df.where(F.col(PARTITION).between(F.lit(start).cast("date"), F.lit(end).cast("date")))
 
 
-def write_csv(df: DataFrame, path: str) -> None:
-    """Text copy with a header, one folder per snapshot, an empty string kept apart from NULL."""
+def write_csv(df: DataFrame, path: str, table: str) -> None:
+    """Text copy with a header, columns in declared order, one folder per snapshot."""
     (
-        df.write.mode("overwrite")
+        df.select(*TABLE_TYPES[table])
+        .write.mode("overwrite")
         .option("header", True)
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(PARTITION)
@@ -97,17 +98,21 @@ def write_csv(df: DataFrame, path: str) -> None:
 
 
 def read_csv(spark: SparkSession, path: str, table: str) -> DataFrame:
-    """A raw text table under its explicit schema, snapshot taken from the folder name."""
-    schema = raw_schema(table)
-    body = [f for f in schema.fieldNames() if f != PARTITION]
-    reader = spark.read.option("header", True).schema(", ".join(f"`{c}` string" for c in body) + f", {PARTITION} date")
-    return reader.csv(path).select(*schema.fieldNames())
+    """A raw text table under its explicit schema, checked against the header; the snapshot comes
+    from the folder name."""
+    names = list(TABLE_TYPES[table])
+    body = ", ".join(f"`{c}` string" for c in names if c != PARTITION)
+    reader = spark.read.option("header", True).option("enforceSchema", False).schema(f"{body}, {PARTITION} date")
+    return reader.csv(path).select(*names)
 
 
 def read_source_csv(spark: SparkSession, path: str, table: str) -> DataFrame:
-    """A source extract: one CSV file or folder with the snapshot as an ordinary column."""
-    frame = spark.read.option("header", True).schema(raw_schema(table)).csv(path)
-    return frame.withColumn(PARTITION, F.col(PARTITION).try_cast("date"))
+    """A source extract as text: columns are found by their header names, in any order, and a
+    declared column the extract lacks is NULL."""
+    found = spark.read.option("header", True).csv(path)
+    present = set(found.columns)
+    text = {c: F.col(c) if c in present else F.lit(None).cast("string") for c in TABLE_TYPES[table]}
+    return found.select(*[(v.try_cast("date") if c == PARTITION else v).alias(c) for c, v in text.items()])
 
 
 def available(tables: dict[str, DataFrame | None], snapshot: str) -> dict[str, DataFrame]:
