@@ -583,7 +583,7 @@ def model_round_trip(lake: Lake) -> DataFrame:
     trained = monthly_model(lake)
     path = tables.shared_dir(lake.spark, "model")
     windows = calendar.month_windows(TRAIN_DATE)
-    training.save(trained, path, TRAIN_DATE, windows, splits.split_stats(monthly_splits(lake)), lake.spark)
+    training.save(trained, path, TRAIN_DATE, windows, lake.spark)
     loaded, facts = training.load(lake.spark, path)
     rows = tables.at_snapshot(lake.features, SNAPSHOT)
     before = training.score(trained.model, rows).select("Customer_ID", "snapshot_date", "model_predictions")

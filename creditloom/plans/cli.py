@@ -124,10 +124,10 @@ def monthly_rows(spark: SparkSession, layout: stages.Layout, train_date: str):
     return [oot, train_test], modelling.training_set(shared.unionByName(held_out), features)
 
 
-def finish_training(spark, layout, trained, args, windows, data) -> None:
+def finish_training(spark, layout, trained, args, windows) -> None:
     version = training.model_version(args.train_date)
     path = layout.model(version if trained.recipe == training.MONTHLY.name else f"{version}_{trained.recipe}")
-    training.save(trained, path, args.train_date, windows, splits.split_stats(data), spark)
+    training.save(trained, path, args.train_date, windows, spark)
     training.append_runs(training.run_log(trained, args.train_date), layout.runs)
     trained.metrics.show(truncate=False)
     training.top_features(spark, trained).show(truncate=False)
@@ -153,13 +153,13 @@ def main(argv: list[str] | None = None) -> int:
     elif args.stage == "train-monthly":
         windows, data = monthly_rows(spark, layout, args.train_date)
         search = training.Search(args.n_iter, args.cv_folds, "balanced_accuracy", seed=42)
-        finish_training(spark, layout, training.train(data, training.MONTHLY, KEY, search=search), args, windows, data)
+        finish_training(spark, layout, training.train(data, training.MONTHLY, KEY, search=search), args, windows)
     elif args.stage == "train":
         windows, data = tuned_rows(spark, layout, args)
         search = training.Search(args.n_iter, args.cv_folds, "recall", seed=args.random_state)
         params = {"maxIter": 100} if args.recipe == "gbt" else None
         trained = training.train(data, RECIPES[args.recipe], KEY, params, search)
-        finish_training(spark, layout, trained, args, windows, data)
+        finish_training(spark, layout, trained, args, windows)
     elif args.stage == "score":
         model, _ = training.load(spark, layout.model(args.model_name.removesuffix(".pkl")))
         store = span_of(args).apply(tables.read_table(spark, layout.features))

@@ -251,6 +251,7 @@ class Trained:
     params: dict
     cv_score: float | None
     metrics: DataFrame
+    stats: DataFrame
     importance: list[tuple[str, float]]
 
 
@@ -301,7 +302,7 @@ def train(
     fitted = recipe.estimator(setting).fit(matrix)
     model = PipelineModel(stages=[*prepared.stages, fitted])
 
-    scored = score(model, rows)
+    scored = materialise(score(model, rows).select("split", "label", SCORE), "training-scores")
     importance = []
     if hasattr(fitted, "featureImportances"):
         importance = list(zip(names, map(float, fitted.featureImportances.toArray())))
@@ -309,7 +310,8 @@ def train(
         importance = [(n, abs(float(c))) for n, c in zip(names, fitted.coefficients.toArray())]
     quality = metrics.classification_metrics(scored, SCORE, "label", by=("split",))
     quality = quality.withColumn("gini", F.round(2 * F.col("roc_auc") - 1, 3))
-    return Trained(recipe.name, model, inputs, setting, cv_score, quality, importance)
+    quality = materialise(quality, "training-metrics")
+    return Trained(recipe.name, model, inputs, setting, cv_score, quality, splits.split_stats(rows), importance)
 
 
 def top_features(spark: SparkSession, trained: Trained, k: int = 10) -> DataFrame:
@@ -325,7 +327,7 @@ def model_version(train_date: str) -> str:
     return "credit_model_" + train_date.replace("-", "_")
 
 
-def save(trained: Trained, path: str, train_date: str, windows, stats: DataFrame, spark: SparkSession) -> None:
+def save(trained: Trained, path: str, train_date: str, windows, spark: SparkSession) -> None:
     """The fitted pipeline and one row of facts: version, inputs, dates, row counts, results,
     parameters."""
     trained.model.write().overwrite().save(f"{path}/model")
@@ -336,7 +338,7 @@ def save(trained: Trained, path: str, train_date: str, windows, stats: DataFrame
         "hp_params string, cv_score double",
     )
     # one row per split
-    sizes = stats.agg(F.collect_list(F.struct("split", "n_rows", "label_mean")).alias("data_stats"))
+    sizes = trained.stats.agg(F.collect_list(F.struct("split", "n_rows", "label_mean")).alias("data_stats"))
     results = trained.metrics.agg(F.collect_list(F.struct("split", "roc_auc", "gini")).alias("results"))
     row = facts.withColumns(
         {"data_stats": sizes.scalar(), "results": results.scalar()}

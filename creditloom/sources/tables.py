@@ -40,10 +40,19 @@ def materialise(df: DataFrame, purpose: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def _gathered(df: DataFrame, partition_by=(PARTITION,)) -> DataFrame:
+    """Rows of a snapshot brought together before a partitioned write.
+
+    Without it every task writes a file into every snapshot.  ``rebalance`` lets adaptive execution
+    aim for files of even size: small snapshots share a task, a huge one is split over many.
+    """
+    return df.hint("rebalance", *partition_by)
+
+
 def write_snapshots(df: DataFrame, path: str, partition_by=(PARTITION,)) -> None:
     """Replace the partitions present in ``df``; other snapshots stay."""
     (
-        df.write.mode("overwrite")
+        _gathered(df, partition_by).write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*partition_by)
         .parquet(path)
@@ -53,7 +62,7 @@ def write_snapshots(df: DataFrame, path: str, partition_by=(PARTITION,)) -> None
 def write_table(df: DataFrame, path: str) -> None:
     """Replace the whole table, still partitioned by snapshot."""
     (
-        df.write.mode("overwrite")
+        _gathered(df).write.mode("overwrite")
         .option("partitionOverwriteMode", "static")
         .partitionBy(PARTITION)
         .parquet(path)
@@ -88,7 +97,7 @@ def between_snapshots(df: DataFrame, start: str, end: str) -> DataFrame:
 def write_csv(df: DataFrame, path: str, table: str) -> None:
     """Text copy with a header, columns in declared order, one folder per snapshot."""
     (
-        df.select(*TABLE_TYPES[table])
+        _gathered(df.select(*TABLE_TYPES[table]))
         .write.mode("overwrite")
         .option("header", True)
         .option("partitionOverwriteMode", "dynamic")
