@@ -471,7 +471,7 @@ def auc_gini_by_split(lake: Lake) -> DataFrame:
 @query
 def label_metrics(lake: Lake) -> DataFrame:
     current = tables.materialise(tables.at_snapshot(lake.predictions, SNAPSHOT), "current-scores")
-    return settle(metrics.label_metrics(current, lake.labels, "model_predictions"), 6)
+    return settle(metrics.label_metrics(current, tables.at_snapshot(lake.labels, SNAPSHOT), "model_predictions"), 6)
 
 
 @query

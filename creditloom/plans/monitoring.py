@@ -10,7 +10,7 @@ from creditloom.operators.metrics import label_metrics
 from creditloom.sources.tables import at_snapshot
 
 
-def _supervised(current: DataFrame, labels: DataFrame | None, label: str) -> DataFrame:
+def _supervised(current: DataFrame, labels: DataFrame | None, label: str, snapshot: str) -> DataFrame:
     """One row with a map of metrics, and a text that says why there are none."""
     spark, nothing = current.sparkSession, F.lit(None).cast("map<string,double>")
 
@@ -23,7 +23,8 @@ def _supervised(current: DataFrame, labels: DataFrame | None, label: str) -> Dat
         return absent("label_column_missing")
     if labels.isEmpty():
         return absent("label_store_empty")
-    quality = label_metrics(current, labels, drift.SCORE, label)
+    # the join is on the snapshot too: read only its partition of the label store
+    quality = label_metrics(current, at_snapshot(labels, snapshot), drift.SCORE, label)
     pairs = [x for c in quality.columns for x in (F.lit(c), F.col(c).cast("double"))]
     return quality.select(F.create_map(*pairs).alias("label_metrics"), F.lit(None).cast("string").alias("label_note"))
 
@@ -51,7 +52,7 @@ def report(
     )
     index = drift.alert(drift.psi(totals), warn, critical).select(F.struct("psi", "alert", "exit_code"))
     distance = drift.ks(totals).select(F.struct("ks_stat", "ks_pvalue"))
-    supervised = _supervised(current, labels, label).select(F.struct("label_metrics", "label_note"))
+    supervised = _supervised(current, labels, label, snapshot).select(F.struct("label_metrics", "label_note"))
 
     row = spark.range(1).select(
         F.lit(model_label).alias("model_label"),
