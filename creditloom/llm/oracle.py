@@ -1,3 +1,35 @@
 """DuckDB SQL for the queries that SQL can express."""
 
 SQL: dict[str, str] = {}
+
+SQL["op3_decontaminate"] = r"""
+with doc as (
+    select doc_id, row_number() over () as r,
+        coalesce(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+            '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), []) as w
+    from documents
+), item as (
+    select item_id::varchar as item_id,
+        coalesce(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+            '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), []) as w
+    from benchmark
+), win as (
+    select distinct item_id, least(10, len(w)) as size,
+        array_to_string(list_slice(w, pos, pos + least(10, len(w)) - 1), ' ') as t
+    from (select *, unnest(range(1, len(w) - least(10, len(w)) + 2)) as pos from item where len(w) > 0)
+), sizes as (select distinct size from win
+), place as (
+    select r, size, pos, array_to_string(list_slice(w, pos, pos + size - 1), ' ') as t
+    from (select r, w, size, unnest(range(1, len(w) - size + 2)) as pos from doc, sizes where len(w) >= size)
+), hit as (select r, p.size, pos, item_id from place p join win on win.t = p.t and win.size = p.size
+), spot as (
+    select r, count(distinct word) as n_hit
+    from (select r, unnest(range(pos, pos + size)) as word from (select distinct r, pos, size from hit)) group by r
+), named as (
+    select r, count(*) as n_items, string_agg(item_id, ',' order by item_id) as ids
+    from (select distinct r, item_id from hit) group by r
+)
+select doc_id, len(w)::bigint as n_words, coalesce(n_hit, 0)::bigint as n_hit, coalesce(n_items, 0)::bigint as n_items,
+    sha256(coalesce(ids, '')) as items_sha256, coalesce(n_hit, 0) > 0 as contaminated
+from doc left join spot using (r) left join named using (r)
+"""

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from creditloom.llm import packing
+from creditloom.llm import decontaminate, fertility, packing
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -25,3 +25,22 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def op8_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = packing.tokenise(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
     return packing.pack(pieces)
+
+
+@query
+def op2_tokenizer_fertility(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    measured = fertility.measure(docs, public_tokenizers.path("piece_bpe_32k.model"), keep=["doc_id", "lang"])
+    judged = fertility.judge(measured, F.col("row.lang"))
+    return judged.select("row.doc_id", *[c for c in judged.columns if c != "row"])
+
+
+@query
+def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    marked = decontaminate.mark(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), keep=["doc_id"])
+    return marked.select(
+        "row.doc_id", "n_words", "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+    )

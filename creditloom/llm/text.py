@@ -178,3 +178,35 @@ class WordIds:
         np.cumsum(length, out=bounds[1:])
         flat = self.pool[np.repeat(begin - bounds[:-1], length) + np.arange(bounds[-1])]
         return flat, bounds
+
+
+def annotate(docs, measure: Callable, columns: str, keep: list[str] | None = None, text: str = "text"):
+    """One output row for each row of ``docs``: its columns as the struct ``row``, then ``columns`` (DDL).
+
+    ``measure(rows, raw, off)`` returns a value array for each of ``columns``, a slice at a time.
+    The struct keeps names of the input from clashing with the new ones.
+    """
+    from pyspark.sql import functions as F
+    from pyspark.sql.types import StructField, StructType, _parse_datatype_string
+    from pyspark.sql.pandas.types import to_arrow_schema
+
+    row = F.struct(*[docs[f"`{c}`"] for c in (docs.columns if keep is None else keep)])
+    narrow = docs.select(row.alias("row"), docs[text].cast("string").cast("binary").alias("text"))
+    added = _parse_datatype_string(columns)
+    schema = StructType([StructField("row", narrow.schema["row"].dataType, False), *added.fields])
+    types = to_arrow_schema(added)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows, raw, off in slices(batches, "text"):
+            found = measure(rows, raw, off)
+            arrays = [x if isinstance(x, pa.Array) else pa.array(x, f.type) for x, f in zip(found, types, strict=True)]
+            yield pa.record_batch([rows.column("row"), *arrays], names=["row", *types.names])
+
+    return narrow.mapInArrow(run, schema)
+
+
+def per_text(flags: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """Number of set flags between each two bounds."""
+    total = np.zeros(len(flags) + 1, np.int64)
+    np.cumsum(flags, out=total[1:])
+    return total[bounds[1:]] - total[bounds[:-1]]
