@@ -33,3 +33,29 @@ select doc_id, len(w)::bigint as n_words, coalesce(n_hit, 0)::bigint as n_hit, c
     sha256(coalesce(ids, '')) as items_sha256, coalesce(n_hit, 0) > 0 as contaminated
 from doc left join spot using (r) left join named using (r)
 """
+
+SQL["op4_ngram_jaccard"] = r"""
+with recursive doc as (
+    select doc_id, coalesce(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x20\x09-\x0D]+'), []) as w
+    from documents
+), shingle as (
+    select distinct doc_id, list_slice(w, pos, pos + least(5, len(w)) - 1) as s
+    from (select *, unnest(range(1, len(w) - least(5, len(w)) + 2)) as pos from doc where len(w) > 0)
+), sized as (select doc_id, count(*) as n from shingle group by doc_id
+), shared as (
+    select a.doc_id as a, b.doc_id as b, count(*) as i
+    from shingle a join shingle b on a.s = b.s and a.doc_id < b.doc_id group by 1, 2
+), link as (
+    select a, b from shared join sized x on x.doc_id = a join sized y on y.doc_id = b
+    where 100 * i >= 75 * (x.n + y.n - i)
+), both_ways as (select a, b from link union select b, a from link
+), reach(doc_id, other) as (
+    select doc_id, doc_id from doc
+    union
+    select reach.doc_id, both_ways.b from reach join both_ways on both_ways.a = reach.other
+)
+select doc_id, coalesce(n, 0)::bigint as n_shingles, component_id
+from doc left join sized using (doc_id)
+join (select doc_id, min(other) as component_id from reach group by doc_id) using (doc_id)
+"""
