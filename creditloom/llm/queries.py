@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from creditloom.llm import decontaminate, fertility, jaccard, packing
+from creditloom.llm import decontaminate, fertility, jaccard, packing, suffix
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -49,3 +49,13 @@ def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op4_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.join(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
+
+
+@query
+def op9_suffix_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = suffix.removed(table(spark, sf_dir, "documents"), keep=["doc_id"])
+    return found.select(
+        "row.doc_id", "n_bytes", "n_removed",
+        F.size("removed").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
