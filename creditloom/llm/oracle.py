@@ -59,3 +59,42 @@ select doc_id, coalesce(n, 0)::bigint as n_shingles, component_id
 from doc left join sized using (doc_id)
 join (select doc_id, min(other) as component_id from reach group by doc_id) using (doc_id)
 """
+
+SQL["op1_warc_chunks"] = r"""
+with page as (
+    select page_id, coalesce(html, '') as html from pages
+), summed as (select page_id, strlen(html)::bigint as payload_bytes, sha1(html) as h from page
+), digit as (  -- 5 hex digits are 20 bits, which are 4 digits of base 32
+    select page_id, payload_bytes, k,
+        (('0x' || substr(h, (k // 4)::int * 5 + 1, 5))::int >> (15 - 5 * (k % 4))::int) & 31 as v
+    from (select *, unnest(range(0, 32)) as k from summed)
+), digested as (
+    select page_id, payload_bytes,
+        string_agg(substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', v + 1, 1), '' order by k) as payload_digest
+    from digit group by page_id, payload_bytes
+), firsts as (select payload_digest, payload_bytes, min(page_id) as first from digested group by all
+)
+select page_id, payload_bytes, payload_digest,
+    case when page_id = first then 'response' else 'revisit' end as record_type,
+    case when page_id <> first then first end as refers_to
+from digested join firsts using (payload_digest, payload_bytes)
+"""
+
+SQL["op6_url_ranges"] = r"""
+with parsed as (
+    select page_id,
+        translate(coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)', 1), ''),
+            'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as host,
+        coalesce(regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1), '') as path
+    from pages
+), rules(verdict, rhost, rpath) as (
+    values ('allow', 'com', '/'), ('block', 'example.com', '/en/'), ('allow', 'www.example.com', '/en/'),
+        ('block', 'net', '/es/'), ('block', 'net', '/fr/')
+), fitting as (
+    select page_id, arg_max(rhost || rpath, length(rhost) * 1000 + length(rpath)) as rule,
+        arg_max(verdict, length(rhost) * 1000 + length(rpath)) as verdict
+    from parsed join rules on (host = rhost or ends_with(host, '.' || rhost)) and starts_with(path, rpath)
+    group by page_id
+)
+select page_id, host, path, rule, coalesce(verdict, 'allow') as verdict from parsed left join fitting using (page_id)
+"""

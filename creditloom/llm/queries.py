@@ -6,7 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from creditloom.llm import decontaminate, fertility, jaccard, packing, suffix
+from creditloom.llm import decontaminate, fertility, jaccard, packing, ring, suffix, url_rules, warc
+from creditloom.sources.tables import shared_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -59,3 +60,24 @@ def op9_suffix_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.size("removed").cast("long").alias("n_spans"),
         F.sha2("kept", 256).alias("kept_sha256"),
     )
+
+
+@query
+def op1_warc_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = shared_dir(spark, "warc")
+    warc.write(table(spark, sf_dir, "pages"), path)
+    return warc.read(spark, path).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+@query
+def op6_url_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rules = spark.createDataFrame(url_rules.RULES, "verdict string, host string, path string")
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    return url_rules.judge(pages, rules).select("row.page_id", "host", "path", "rule", "verdict")
+
+
+@query
+def op7_ring_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ring.shard_documents(table(spark, sf_dir, "documents"), shards=8).select(
+        "row.*", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"), "home"
+    )
