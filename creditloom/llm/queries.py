@@ -6,8 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from creditloom.llm import decontaminate, fertility, jaccard, packing, ring, suffix, url_rules, warc
-from creditloom.sources.tables import shared_dir
+from creditloom.llm import decontaminate, fertility, jaccard, langid, packing, ring, rollups, suffix, url_rules, warc
+from creditloom.sources.tables import materialise, shared_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -81,3 +81,44 @@ def op7_ring_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ring.shard_documents(table(spark, sf_dir, "documents"), shards=8).select(
         "row.*", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"), "home"
     )
+
+
+@query
+def op5_token_rollups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents come in; toxic ones go; poor ones are counted anew without symbols; other languages change tokenizer."""
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    first, second = "byte_bpe_50k", "byte_bpe_multi_50k"
+    paths = [public_tokenizers.path(f"{name}.tiktoken") for name in (first, second)]
+    keep = ["doc_id", "source", "lang"]
+    counts = rollups.counted(docs, paths, keep).select("row.*", *[F.col("counts")[k].alias(f"n{k}") for k in (0, 1)])
+    counts = materialise(counts, "counts")
+    marked = labels.groupBy("doc_id").agg(F.max("toxic").alias("toxic"), F.min("quality").alias("quality"))
+    toxic = marked.filter("toxic = 1").select("doc_id")
+    poor = marked.filter("quality = 0 and coalesce(toxic, 0) <> 1").select("doc_id")
+    plain = docs.join(poor, "doc_id").withColumn("text", F.regexp_replace("text", r"[#*$%&|<>]+", ""))
+    again = rollups.counted(plain, paths, ["doc_id"]).select("row.doc_id", F.col("counts")[0].alias("new"))
+
+    change = lambda op, tokenizer, tokens, old=F.lit(None): [
+        F.lit(op).alias("op"), "source", "lang", F.lit(tokenizer).alias("tokenizer"), tokens.alias("tokens"), old.cast("long").alias("old_tokens")
+    ]
+    inserted = counts.select(*change("insert", first, F.col("n0")))
+    deleted = counts.join(toxic, "doc_id").select(*change("delete", first, F.col("n0")))
+    revised = counts.join(again.groupBy("doc_id").agg(F.max("new").alias("new")), "doc_id").select(*change("revise", first, F.col("new"), F.col("n0")))
+    others = counts.filter("lang <> 'en'").join(marked.filter("toxic = 1 or quality = 0").select("doc_id"), "doc_id", "left_anti")
+    moved = others.select(*change("delete", first, F.col("n0"))).unionByName(others.select(*change("insert", second, F.col("n1"))))
+
+    store = shared_dir(spark, "rollups")
+    for batch, changes in (("1-load", inserted), ("2-toxic", deleted), ("3-symbols", revised), ("1-load", inserted), ("4-tokenizer", moved)):
+        rollups.commit(spark, store, batch, changes)
+    rollups.compact(spark, store, "5-all")
+    rollups.commit(spark, store, "2-toxic", deleted)  # comes again, and is recognised
+    return rollups.totals(spark, store)
+
+
+@query
+def op10_string_kernel(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = langid.fold(F.col("doc_id")) == 2
+    model = langid.fit(docs.filter(~held_out).select("text", "lang"))
+    found = langid.predict(docs.select("doc_id", "text"), model, keep=["doc_id"])
+    return found.select("row.doc_id", (langid.fold(F.col("row.doc_id")) == 2).alias("held_out"), "lang_pred", "score")
