@@ -1,5 +1,7 @@
 """The registered queries of the operators: name -> function of (spark, folder of the tables)."""
 
+import functools
+import os
 from collections.abc import Callable
 
 import public_tokenizers
@@ -12,10 +14,24 @@ from creditloom.sources.tables import materialise, shared_dir
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
 
+def importable(spark: SparkSession) -> None:
+    """Let workers that start from here on import this package, wherever the driver was started."""
+    home = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    known = spark.sparkContext.environment.get("PYTHONPATH", "").split(os.pathsep)
+    if home not in known:
+        spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join([*filter(None, known), home])
+
+
 def query(build: Callable[[SparkSession, str], DataFrame]):
     """Register under the function's name."""
-    QUERIES[build.__name__] = build
-    return build
+
+    @functools.wraps(build)
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        importable(spark)
+        return build(spark, sf_dir)
+
+    QUERIES[build.__name__] = run
+    return run
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
