@@ -204,7 +204,7 @@ def clean(docs: DataFrame, items: DataFrame, remove: str = "document", n: int =
     last = F.element_at("spans", -1)["end"]
     rest = F.substring(raw, _int(last + 1), _int(F.length(raw) - last))
     joined = F.aggregate(before, F.lit(b""), lambda done, x: F.concat(done, x))
-    text = F.when(F.size("spans") == 0, F.col("row.text")).otherwise(F.decode(F.concat(joined, rest), F.lit("UTF-8")))
+    text = F.when(F.size("spans") == 0, F.col("row.text")).otherwise(F.decode(F.concat(joined, rest), "UTF-8"))
     columns = [text.alias(c) if c == "text" else F.col(f"row.`{c}`") for c in docs.columns]
     return marked.select(*columns)
 
