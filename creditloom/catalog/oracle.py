@@ -46,11 +46,11 @@ CTES["loan_keys"] = "select distinct Customer_ID, snapshot_date from loan"
 
 CTES["attributes"] = f"""
 select b.Customer_ID, {listed(f"{rule} as {c}" for c, rule in ATTRIBUTE_RULES.items())}, b.snapshot_date
-from loan_keys b join customer on b.Customer_ID = cast(c_custkey as string) where c_custkey % 10 <> 0"""
+from loan_keys b join customer on b.Customer_ID = cast(c_custkey as string)"""
 
 CTES["financials"] = f"""
 select b.Customer_ID, {listed(f"{rule} as {c}" for c, rule in FINANCIAL_RULES.items())}, b.snapshot_date
-from loan_keys b join customer on b.Customer_ID = cast(c_custkey as string) where c_custkey % 9 <> 0"""
+from loan_keys b join customer on b.Customer_ID = cast(c_custkey as string)"""
 
 CTES["clickstream"] = f"""
 select cast(user_id as string) as Customer_ID,
@@ -488,12 +488,14 @@ BODIES["roc_auc"] = f"select {r('auc', 6)} as roc_auc from ({auc('scored')})"
 _RATES = f"""tn as true_negatives, fp as false_positives, fn as false_negatives, tp as true_positives,
   {r("(tp + tn) / (tn + fp + fn + tp)", 6)} as accuracy, {r("tp / (tp + fn)", 6)} as recall,
   {r("tp / (tp + fp)", 6)} as precision, {r("2 * tp / (2 * tp + fp + fn)", 6)} as f1,
-  {r("(tp / (tp + fn) + tn / (tn + fp)) / 2", 6)} as balanced_accuracy"""
+  {r("(tp / (tp + fn) + tn / (tn + fp)) / 2", 6)} as balanced_accuracy,
+  (select count(*) filter (score is null or isnan(score)) from scored where label is not null) as unscored"""
 BODIES["classification_metrics"] = f"select {_RATES}, {r('auc', 6)} as roc_auc from confusion, ({auc('scored')})"
 BODIES["auc_gini_by_split"] = f"""select split, {r("auc", 6)} as roc_auc, {r("round(2 * auc - 1, 3)", 6)} as gini
 from ({auc(f"(select *, {FOUR} as split from scored where {FOUR} is not null)", "split")})"""
 BODIES["label_metrics"] = f"""select {r("auc", 6)} as roc_auc, {r("tp / (tp + fp)", 6)} as precision, {r("tp / (tp + fn)", 6)} as recall,
-  {r("2 * tp / (2 * tp + fp + fn)", 6)} as f1, unlabelled
+  {r("2 * tp / (2 * tp + fp + fn)", 6)} as f1, unlabelled,
+  (select count(*) filter (score is null or isnan(score)) from scored_now) as unscored
 from ({auc("scored_now")}), (
   select count(*) filter (score < 0.5 and label = 0) as tn, count(*) filter (score >= 0.5 and label = 0) as fp,
     count(*) filter (score < 0.5 and label = 1) as fn, count(*) filter (score >= 0.5 and label = 1) as tp from scored_now), (

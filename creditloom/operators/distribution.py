@@ -10,18 +10,20 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# Bounds of the number of ranges, whatever the session asks for.
-MIN_RANGES, MAX_RANGES = 64, 8192
+from creditloom.sources.tables import materialise
+
+# Ranges at least, whatever the session asks for.
+MIN_RANGES = 64
 DECILES = [i / 10 for i in range(11)]
 
 
 def range_cuts(df: DataFrame, value: str) -> list[float]:
-    """Approximate equi-depth cut points: at most ``MAX_RANGES`` numbers.
+    """Approximate equi-depth cut points of ``df``'s rows, one fewer than there are ranges.
 
-    Any cut points give exact results downstream; good ones give even tasks.
+    Any cut points give exact results downstream; those of the distinct values give even tasks,
+    however many rows share a few values.
     """
-    asked = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ranges = max(MIN_RANGES, min(MAX_RANGES, asked))
+    ranges = max(MIN_RANGES, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     found = df.approxQuantile(value, [i / ranges for i in range(1, ranges)], 1 / (4 * ranges))
     return sorted(set(found)) or [0.0]
 
@@ -35,8 +37,10 @@ def running_totals(df: DataFrame, value: str, weights: dict[str, Column], by: tu
     by = list(by)
     number = F.col(value).cast("double")
     usable = df.where(number.isNotNull() & ~F.isnan(number)).withColumn(value, number)
-    cuts = range_cuts(usable, value)
-    distinct = usable.groupBy(*by, value).agg(*[F.sum(c).alias(w) for w, c in weights.items()])
+    distinct = materialise(
+        usable.groupBy(*by, value).agg(*[F.sum(c).alias(w) for w, c in weights.items()]), "distinct-values"
+    )
+    cuts = range_cuts(distinct, value)
     ranged = Bucketizer(
         splits=[float("-inf"), *cuts, float("inf")], inputCol=value, outputCol="_range"
     ).transform(distinct)

@@ -4,6 +4,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from creditloom.operators.distribution import DECILES, quantiles, running_totals
+from creditloom.sources.tables import materialise
 
 SCORE = "model_predictions"
 
@@ -43,13 +44,16 @@ def read_scores(df: DataFrame) -> DataFrame:
 
 
 def find_predictions(df: DataFrame, model_label: str, snapshot: str) -> DataFrame:
-    """The scores of a model at a snapshot: by exact name, else by the name without extension."""
+    """The scores of a model at a snapshot: by exact name, else by the name with or without ``.pkl``.
+
+    Never another model's, however much its name begins alike.
+    """
     stem = model_label.removesuffix(".pkl")
     dated = df.where(F.col("snapshot_date") == F.lit(snapshot).cast("date"))
     exact = dated.where(F.col("model_name") == model_label)
     if not exact.isEmpty():
         return exact
-    loose = dated.where(F.col("model_name").startswith(stem))
+    loose = dated.where(F.col("model_name").isin(stem, f"{stem}.pkl"))
     if loose.isEmpty():
         raise FileNotFoundError(f"no predictions of {model_label} at {snapshot}")
     chosen = loose.agg(F.min("model_name").alias("m"))
@@ -64,9 +68,9 @@ def paired(baseline: DataFrame, current: DataFrame, value: str = SCORE) -> DataF
 
 
 def paired_totals(baseline: DataFrame, current: DataFrame, value: str = SCORE) -> DataFrame:
-    """Running totals over the distinct scores of both sides."""
+    """Running totals over the distinct scores of both sides, stored: several statistics read them."""
     on = {s: F.when(F.col("side") == s, 1).otherwise(0) for s in ("base", "current")}
-    return running_totals(paired(baseline, current, value), value, on)
+    return materialise(running_totals(paired(baseline, current, value), value, on), "score-totals")
 
 
 def summarise(df: DataFrame, value: str = SCORE, by: tuple[str, ...] = ("side",)) -> DataFrame:
@@ -105,13 +109,15 @@ def psi(totals: DataFrame, value: str = SCORE, bins: int = 10) -> DataFrame:
     side has no rows.
     """
     probs = [i / bins for i in range(bins + 1)]
-    edges = totals.agg(F.array_distinct(quantiles(value, "base", probs)).alias("edges")).scalar()
-    reached = F.size(F.filter(F.col("edges"), lambda e: e <= F.col(value)))
-    last = F.greatest(F.size("edges") - 1, F.lit(1))
+    # at most ``bins`` + 1 numbers, and what follows compares with literals
+    found = totals.agg(F.array_distinct(quantiles(value, "base", probs)).alias("edges")).first().edges
+    edges = [e for e in found if e is not None]
+    reached = F.lit(0)
+    for edge in edges:
+        reached = reached + (F.col(value) >= F.lit(edge)).cast("int")
     inside = (
-        totals.withColumn("edges", edges)
-        .where(F.col(value).between(F.col("edges")[0], F.element_at("edges", -1)))
-        .withColumn("bin", F.least(reached, last))
+        totals.where(F.col(value).between(F.lit(edges[0]), F.lit(edges[-1])) if edges else F.lit(False))
+        .withColumn("bin", F.least(reached, F.lit(max(len(edges) - 1, 1))))
     )
     binned = inside.groupBy("bin").agg(
         F.sum("base").alias("b"), F.sum("current").alias("c"),

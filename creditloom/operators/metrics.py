@@ -33,9 +33,11 @@ def classification_metrics(
     df: DataFrame, score: str, label: str, by: tuple[str, ...] = (),
     threshold: float = THRESHOLD, weight: Column | None = None,
 ) -> DataFrame:
-    """Confusion counts, rates and exact ROC-AUC per group, from one pass over distinct scores.
+    """Confusion counts, rates and exact ROC-AUC per group.
 
-    ``balanced_accuracy`` is the ROC-AUC of the hard decisions.
+    A labelled row without a score (NULL or NaN) is below the threshold; ``unscored`` counts such
+    rows.  The ROC-AUC is that of the scored rows.  ``balanced_accuracy`` is the ROC-AUC of the hard
+    decisions.
     """
     judged = df.where(F.col(label).isNotNull())
     truth = F.col(label) == 1
@@ -43,18 +45,27 @@ def classification_metrics(
     totals = running_totals(
         judged, score, {"pos": F.when(truth, each).otherwise(none), "neg": F.when(truth, none).otherwise(each)}, by
     )
-    hit = F.col(score) >= threshold
-
-    def counted(weight: str, condition: Column, name: str) -> Column:
-        return F.sum(F.when(condition, F.col(weight)).otherwise(F.lit(0))).alias(name)
-
-    summary = totals.groupBy(*by).agg(
-        counted("neg", ~hit, "true_negatives"),
-        counted("neg", hit, "false_positives"),
-        counted("pos", ~hit, "false_negatives"),
-        counted("pos", hit, "true_positives"),
-        rank_auc().alias("roc_auc"),
+    number = F.col(score).cast("double")
+    scored = number.isNotNull() & ~F.isnan(number)
+    hit = scored & (number >= threshold)
+
+    def counted(condition: Column, name: str) -> Column:
+        return F.coalesce(F.sum(F.when(condition, each).otherwise(none)), none).cast("long").alias(name)
+
+    counts = judged.groupBy(*by).agg(
+        counted(~truth & ~hit, "true_negatives"),
+        counted(~truth & hit, "false_positives"),
+        counted(truth & ~hit, "false_negatives"),
+        counted(truth & hit, "true_positives"),
+        counted(~scored, "unscored"),
     )
+    areas = totals.groupBy(*by).agg(rank_auc().alias("roc_auc"))
+    if by:  # few rows on either side; a group may be NULL
+        named = areas.select(*[F.col(c).alias(f"_{c}") for c in by], "roc_auc")
+        same = [counts[c].eqNullSafe(named[f"_{c}"]) for c in by]
+        summary = counts.join(named, same, "left").drop(*[f"_{c}" for c in by])
+    else:
+        summary = counts.withColumn("roc_auc", areas.scalar())
     return summary.withColumns(rates())
 
 
@@ -79,4 +90,4 @@ def label_metrics(predictions: DataFrame, labels: DataFrame, score: str, label:
     merged = labelled(predictions, labels, label)
     missing = merged.agg(F.count_if(F.col(label).isNull()).alias("unlabelled"))
     quality = classification_metrics(merged, score, label, weight=F.col("n_labels"))
-    return quality.select("roc_auc", "precision", "recall", "f1", missing.scalar().alias("unlabelled"))
+    return quality.select("roc_auc", "precision", "recall", "f1", missing.scalar().alias("unlabelled"), "unscored")

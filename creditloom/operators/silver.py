@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from creditloom.functions import cleansing as cl
 from creditloom.functions import ledger
 from creditloom.sources.schemas import CLICKSTREAM_COUNTERS, FINANCIAL_NUMERICS, TABLE_TYPES
+from creditloom.sources.tables import materialise
 
 # What counts as an implausible number.
 CAST_FIRST_BOUNDS = {
@@ -136,7 +137,8 @@ def financials_cast_first(df: DataFrame) -> DataFrame:
     numerics = [c for c in FINANCIAL_NUMERICS if c in present]
     bounded = replace(typed, _bounded(numerics, CAST_FIRST_BOUNDS, lambda c: F.col(c).cast("double")))
     scrubbed = _scrub_categories(bounded)
-    imputed = impute_median(scrubbed, numerics)
+    # the medians and the rows both read it
+    imputed = impute_median(materialise(scrubbed, "typed-financials"), numerics)
     return with_customer(replace(imputed, _categories(imputed)))
 
 
@@ -221,7 +223,3 @@ STRIP_FIRST = {
     "financials": financials_strip_first,
     "loan_daily": loan_by_payment,
 }
-
-
-def silver_tables(raw: dict[str, DataFrame], rules: dict = STRIP_FIRST) -> dict[str, DataFrame]:
-    return {name: df.transform(rules[name]) for name, df in raw.items() if df is not None}

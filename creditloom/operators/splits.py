@@ -46,13 +46,15 @@ def find_cuts(df: DataFrame, stratum: str, key: list[str], ranks: DataFrame, see
     )
     wanted = ranks.select(F.col(stratum).alias("_s"), F.col("part").alias("_part"), F.col("rank").alias("_rank"))
     holding = (
-        histogram.join(wanted, "_s")
+        histogram.join(wanted.withColumnRenamed("_s", "_w"), F.col("_s").eqNullSafe(F.col("_w")))
         .where((F.col("_rank") > F.col("_upto") - F.col("_n")) & (F.col("_rank") <= F.col("_upto")))
         .select("_s", "_p", "_part", (F.col("_rank") - F.col("_upto") + F.col("_n")).alias("_need"))
     )
     # one row per cut: strata times parts
     near = (
-        keyed.withColumn("_p", prefix).join(F.broadcast(holding), ["_s", "_p"])
+        keyed.withColumn("_p", prefix)
+        .join(F.broadcast(holding.select(F.col("_s").alias("_w"), F.col("_p").alias("_q"), "_part", "_need")),
+              F.col("_s").eqNullSafe(F.col("_w")) & (F.col("_p") == F.col("_q")))
         .groupBy("_s", "_part", "_need", "_k").agg(F.count("*").alias("_c"))
     )
     within = Window.partitionBy("_s", "_part").orderBy("_k").rowsBetween(Window.unboundedPreceding, 0)
@@ -172,13 +174,17 @@ def stratified_folds(
 
 
 def stratified_sample(df: DataFrame, label: str, fraction: float, seed: int = 42) -> DataFrame:
-    """The same fraction of every class; plain sampling when there is one class; all rows from 1 on."""
+    """The same fraction of every class, rows without class being one; all rows from 1 on.
+
+    One value per class reaches the driver: for label columns, not for wide ones.
+    """
     if fraction >= 1.0:
         return df
     classes = [row[0] for row in df.select(label).distinct().collect()]
     if len(classes) <= 1:
         return df.sample(fraction, seed)
-    return df.sampleBy(label, {c: float(fraction) for c in classes if c is not None}, seed)
+    known = df.sampleBy(label, {c: float(fraction) for c in classes if c is not None}, seed)
+    return known.unionByName(df.where(F.col(label).isNull()).sample(fraction, seed)) if None in classes else known
 
 
 def split_stats(df: DataFrame, label: str = "label", split: str = "split") -> DataFrame:

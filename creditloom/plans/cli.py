@@ -109,7 +109,10 @@ def tuned_rows(spark: SparkSession, layout: stages.Layout, args):
     name = labels.label_column(normal, args.label_col)
     binary = normal.withColumn("label", F.col(name).cast("int"))
     stratum = binary.withColumn("stratum", F.concat_ws("|", "split", "label"))
-    sampled = splits.stratified_sample(stratum, "stratum", args.sample_frac, args.random_state).drop("stratum")
+    # a sample to fit on; what the model is judged by stays whole
+    fitted_on = stratum.where(F.col("split") == "train")
+    sampled = splits.stratified_sample(fitted_on, "stratum", args.sample_frac, args.random_state)
+    sampled = sampled.unionByName(stratum.where(F.col("split") != "train")).drop("stratum")
     span = stages.Span(windows[-1].start.isoformat(), windows[0].end.isoformat())
     return windows, modelling.training_set(sampled, span.apply(tables.read_table(spark, layout.features)))
 

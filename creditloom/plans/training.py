@@ -8,10 +8,11 @@ from __future__ import annotations
 
 import json
 import random
+import uuid
 from dataclasses import dataclass, field
 from datetime import datetime, timezone
 
-from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml import Model, Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.evaluation import Evaluator
 from pyspark.ml.feature import OneHotEncoder, SQLTransformer, StringIndexer, VectorAssembler
@@ -218,12 +219,14 @@ def param_map(estimator: Params, setting: dict) -> dict:
     }
 
 
-def random_search(recipe: Recipe, matrix: DataFrame, search: Search) -> tuple[dict, float, list[float]]:
-    """Best setting, its cross-validated score, and the score of every setting.
+def random_search(recipe: Recipe, matrix: DataFrame, search: Search, params: dict | None = None) -> tuple[dict, float, list[float], Model]:
+    """Best setting, its cross-validated score, the score of every setting, and the model fitted
+    with the best on all rows.
 
-    ``matrix`` holds features, label, weight and fold.
+    ``params`` are fixed parameters that every setting is tried with.  ``matrix`` holds features,
+    label, weight and fold.
     """
-    estimator = recipe.estimator()
+    estimator = recipe.estimator(params)
     settings = draw(recipe.space, search.n_iter, search.seed)
     validator = CrossValidator(
         estimator=estimator,
@@ -233,9 +236,10 @@ def random_search(recipe: Recipe, matrix: DataFrame, search: Search) -> tuple[di
         foldCol="fold",
         parallelism=search.parallelism,
     )
-    scores = [float(m) for m in validator.fit(matrix).avgMetrics]
+    searched = validator.fit(matrix)
+    scores = [float(m) for m in searched.avgMetrics]
     best = max(range(len(settings)), key=lambda i: scores[i])
-    return settings[best], scores[best], scores
+    return settings[best], scores[best], scores, searched.bestModel
 
 
 # -- training ---------------------------------------------------------------------------------
@@ -297,9 +301,10 @@ def train(
 
     setting, cv_score = dict(params or {}), None
     if search:
-        found, cv_score, _ = random_search(recipe, matrix, search)
+        found, cv_score, _, fitted = random_search(recipe, matrix, search, setting)
         setting = {**setting, **found}
-    fitted = recipe.estimator(setting).fit(matrix)
+    else:
+        fitted = recipe.estimator(setting).fit(matrix)
     model = PipelineModel(stages=[*prepared.stages, fitted])
 
     scored = materialise(score(model, rows).select("split", "label", SCORE), "training-scores")
@@ -350,6 +355,7 @@ def load(spark: SparkSession, path: str) -> tuple[PipelineModel, DataFrame]:
     return PipelineModel.load(f"{path}/model"), spark.read.parquet(f"{path}/facts")
 
 
+# The metrics of a run record.
 RUN_METRICS = [
     "accuracy", "recall", "precision", "f1", "roc_auc",
     "true_negatives", "false_positives", "false_negatives", "true_positives",
@@ -363,7 +369,7 @@ def run_log(trained: Trained, train_date: str, started: datetime | None = None)
         *[F.struct(F.lit(m).alias("metric"), F.col(m).cast("double").alias("value")) for m in RUN_METRICS]
     )
     return trained.metrics.select("split", F.explode(pairs).alias("p")).select(
-        F.lit(f"{trained.recipe}_{train_date}_{started:%Y%m%dT%H%M%S}").alias("run_id"),
+        F.lit(f"{trained.recipe}_{train_date}_{started:%Y%m%dT%H%M%S}_{uuid.uuid4().hex[:8]}").alias("run_id"),
         F.lit(trained.recipe).alias("model_type"),
         F.lit(train_date).cast("date").alias("train_date"),
         F.lit(started).alias("start_time"),

@@ -91,13 +91,11 @@ def loan_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _customer_months(spark: SparkSession, sf_dir: str, rules: dict[str, str], keep: str) -> DataFrame:
+def _customer_months(spark: SparkSession, sf_dir: str, rules: dict[str, str]) -> DataFrame:
     """One row per customer and month with a loan, carrying columns derived from the customer."""
     months = _shipments(spark, sf_dir).select("o_custkey", "snapshot_date").distinct()
-    profiles = (
-        warehouse(spark, sf_dir, "customer")
-        .where(keep)
-        .select("c_custkey", *[F.expr(rule).alias(name) for name, rule in rules.items()])
+    profiles = warehouse(spark, sf_dir, "customer").select(
+        "c_custkey", *[F.expr(rule).alias(name) for name, rule in rules.items()]
     )
     return months.join(profiles, months.o_custkey == profiles.c_custkey).select(
         F.col("o_custkey").cast("string").alias("Customer_ID"), *rules, "snapshot_date"
@@ -105,11 +103,11 @@ def _customer_months(spark: SparkSession, sf_dir: str, rules: dict[str, str], ke
 
 
 def attributes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _customer_months(spark, sf_dir, ATTRIBUTE_RULES, "c_custkey % 10 <> 0")
+    return _customer_months(spark, sf_dir, ATTRIBUTE_RULES)
 
 
 def financials(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _customer_months(spark, sf_dir, FINANCIAL_RULES, "c_custkey % 9 <> 0")
+    return _customer_months(spark, sf_dir, FINANCIAL_RULES)
 
 
 def clickstream(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -147,7 +145,3 @@ RAW_TABLES = {
     "financials": financials,
     "loan_daily": loan_daily,
 }
-
-
-def raw_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    return {name: build(spark, sf_dir) for name, build in RAW_TABLES.items()}

@@ -5,6 +5,7 @@ partitions it holds (dynamic overwrite), so a rerun after a lost job is safe.  E
 rows pass through the driver.
 """
 
+import re
 import tempfile
 import uuid
 
@@ -15,15 +16,18 @@ from creditloom.sources.schemas import TABLE_TYPES
 
 PARTITION = "snapshot_date"
 
+# Text comes back as it was: quotes are doubled and outer blanks kept.
+CSV_TEXT = {"header": True, "escape": '"', "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+
 
 def shared_dir(spark: SparkSession, purpose: str) -> str:
     """A fresh folder under the session's shared checkpoint folder.
 
     Falls back to a local temporary folder only for a local session, where every task sees it.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
             raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         root = tempfile.mkdtemp(prefix="creditloom-")
     return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
@@ -99,7 +103,7 @@ def write_csv(df: DataFrame, path: str, table: str) -> None:
     (
         _gathered(df.select(*TABLE_TYPES[table]))
         .write.mode("overwrite")
-        .option("header", True)
+        .options(**CSV_TEXT)
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(PARTITION)
         .csv(path)
@@ -108,28 +112,28 @@ def write_csv(df: DataFrame, path: str, table: str) -> None:
 
 def read_csv(spark: SparkSession, path: str, table: str) -> DataFrame:
     """A raw text table under its explicit schema, checked against the header; the snapshot comes
-    from the folder name."""
+    from the folder name.
+
+    Values may hold line breaks, so a file is read by one task; ``write_csv`` keeps files small.
+    """
     names = list(TABLE_TYPES[table])
     body = ", ".join(f"`{c}` string" for c in names if c != PARTITION)
-    reader = spark.read.option("header", True).option("enforceSchema", False).schema(f"{body}, {PARTITION} date")
+    reader = spark.read.options(**CSV_TEXT, multiLine=True).option("enforceSchema", False).schema(f"{body}, {PARTITION} date")
     return reader.csv(path).select(*names)
 
 
-def read_source_csv(spark: SparkSession, path: str, table: str) -> DataFrame:
+def read_source_csv(spark: SparkSession, path: str, table: str, multi_line: bool = False) -> DataFrame:
     """A source extract as text: columns are found by their header names, in any order, and a
-    declared column the extract lacks is NULL."""
-    found = spark.read.option("header", True).csv(path)
+    declared column the extract lacks is NULL.
+
+    ``multi_line`` is for extracts whose values hold line breaks; such a file cannot be split.
+    """
+    found = spark.read.options(**CSV_TEXT, multiLine=multi_line).csv(path)
     present = set(found.columns)
     text = {c: F.col(c) if c in present else F.lit(None).cast("string") for c in TABLE_TYPES[table]}
     return found.select(*[(v.try_cast("date") if c == PARTITION else v).alias(c) for c, v in text.items()])
 
 
-def available(tables: dict[str, DataFrame | None], snapshot: str) -> dict[str, DataFrame]:
-    """Tables that hold at least one row of the snapshot."""
-    present = {name: at_snapshot(df, snapshot) for name, df in tables.items() if df is not None}
-    return {name: df for name, df in present.items() if not df.isEmpty()}
-
-
 def availability(tables: dict[str, DataFrame], snapshot: str) -> DataFrame:
     """One row per table: does it hold the snapshot?  A single row per table is ever read."""
     checks = [

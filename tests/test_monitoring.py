@@ -133,3 +133,32 @@ def test_retrain(spark):
     assert drift.retrain_needed(runs, "2024-03-01").first().retrain is False
     assert drift.retrain_needed(runs, "2024-05-01").first().retrain is True
     assert drift.retrain_needed(runs.limit(0), "2024-05-01").first().retrain is True
+
+
+def test_lookup_never_takes_another_model(spark):
+    day = dt.date(2024, 1, 1)
+    df = spark.createDataFrame([("m_gbt", day, 0.1), ("mm", day, 0.2)], "model_name string, snapshot_date date, p double")
+    with pytest.raises(FileNotFoundError):
+        drift.find_predictions(df, "m", "2024-01-01")
+
+
+def test_unscored_rows_count_as_below_the_threshold(spark):
+    rows = [(1, 0.9, "a"), (0, 0.1, "a"), (1, None, None), (1, float("nan"), None), (None, 0.3, "a")]
+    df = spark.createDataFrame(rows, "label int, score double, g string")
+    row = metrics.classification_metrics(df, "score", "label").first()
+    assert (row.true_positives, row.true_negatives, row.false_negatives, row.unscored) == (1, 1, 2, 2)
+    assert row.recall == pytest.approx(1 / 3) and row.roc_auc == 1.0
+    by = {r.g: r for r in metrics.classification_metrics(df, "score", "label", by=("g",)).collect()}
+    assert by[None].false_negatives == 2 and by[None].roc_auc is None and by["a"].unscored == 0
+
+
+def test_ranges_are_even_however_rows_are_shared(spark):
+    """Nearly all rows on few values: the cuts still part the distinct values evenly."""
+    few = spark.range(40_000).select((F.col("id") % 7 / 1000).alias("v"))
+    many = spark.range(10_000).select((F.col("id") / 10_000 + 0.01).alias("v"))
+    distinct = few.unionByName(many).distinct()
+    cuts = distribution.range_cuts(distinct, "v")
+    sizes = np.histogram([r.v for r in distinct.collect()], [-np.inf, *cuts, np.inf])[0]
+    assert sizes.max() <= 2 * 10_007 / 64
+    totals = distribution.running_totals(few.unionByName(many), "v", {"n": F.lit(1)})
+    assert tuple(totals.agg(F.max(F.col("n_below") + F.col("n")), F.max("n_total")).first()) == (50_000, 50_000)

@@ -71,3 +71,13 @@ def test_sample(spark):
     assert abs(got[0] / 3333 - 0.3) < 0.05 and abs(got[1] / 1667 - 0.3) < 0.05
     single = splits.stratified_sample(df.where(F.col("label") == 1), "label", 0.3).count()
     assert 300 < single < 700
+
+
+def test_rows_without_stratum_are_split_too(spark):
+    df = spark.range(60).select(F.col("id").cast("string").alias("k"), F.when(F.col("id") < 40, F.lit(1)).alias("label"))
+    got = splits.stratified_split(df, ["k"], train_ratio=0.8)
+    sizes = {(r.label, r.split): r["count"] for r in got.groupBy("label", "split").count().collect()}
+    assert sizes == {(1, "train"): 32, (1, "test"): 8, (None, "train"): 16, (None, "test"): 4}
+    folds = splits.stratified_folds(df, ["k"], folds=5).where("label is null").groupBy("fold").count().collect()
+    assert [r["count"] for r in folds] == [4] * 5
+    assert 0 < splits.stratified_sample(df, "label", 0.5).where("label is null").count() < 20

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from creditloom.catalog.lake import Lake
 from creditloom.operators import features, labels
 from creditloom.plans import cli, stages
-from creditloom.sources import calendar, tables
+from creditloom.sources import calendar, schemas, tables
 
 SF = "/root/testdata/sf0.001"
 
@@ -53,7 +53,7 @@ def test_missing_table_is_none(spark, tmp_path):
 def test_shared_dir_follows_the_session(spark):
     class Session:
         def __init__(self, master, **settings):
-            self.sparkContext = type("Context", (), {"master": master})
+            self.sparkContext = type("Context", (), {"master": master, "getCheckpointDir": staticmethod(lambda: None)})
             self.conf = type("Conf", (), {"get": staticmethod(lambda k, d=None: settings.get(k.replace(".", "_"), d))})
 
     assert tables.shared_dir(Session("yarn", spark_checkpoint_dir="hdfs://x/ckpt/"), "t").startswith("hdfs://x/ckpt/t-")
@@ -149,3 +149,15 @@ def test_labelled_gold_keeps_its_own_folder(spark, sources, tmp_path):
     assert tables.read_table(spark, layout.labels).count() == recent.count() == store.count()
     assert set(store.columns) == set(features.labelled_feature_store(lake.cast_first, lake.calendar_labels).columns)
     assert labels.CALENDAR_RULE.definition == store.first().label_definition
+
+
+def test_text_survives_csv(spark, tmp_path):
+    odd = ' a "quoted", text\nwith \\ and blanks '
+    names = [c for c in schemas.TABLE_TYPES["attributes"] if c != "snapshot_date"]
+    df = spark.createDataFrame([(odd,) * len(names)], ", ".join(f"`{c}` string" for c in names))
+    df.write.options(**tables.CSV_TEXT).csv(str(tmp_path / "b"))
+    found = tables.read_source_csv(spark, str(tmp_path / "b"), "attributes", multi_line=True).collect()
+    assert len(found) == 1 and all(found[0][c] == odd for c in names)
+    tables.write_csv(df.withColumn("snapshot_date", F.lit("2024-01-01").cast("date")), str(tmp_path / "a"), "attributes")
+    back = tables.read_csv(spark, str(tmp_path / "a"), "attributes").collect()
+    assert len(back) == 1 and all(back[0][c] == odd for c in names)

@@ -64,3 +64,19 @@ def test_hard_scores(spark):
     df = spark.createDataFrame([(1.0, 1.0), (1.0, 0.0), (0.0, 0.0), (0.0, 0.0)], "label double, prediction double")
     assert training.HardScore("recall").evaluate(df) == 0.5
     assert training.HardScore("balanced_accuracy").evaluate(df) == 0.75
+
+
+def test_search_and_fit_are_one_estimator(spark, data, monkeypatch):
+    """Fixed parameters hold while searching, and the model kept is the search's own."""
+    recipe = training.Recipe("gbt", INPUTS, "positive_weight", {"maxDepth": [2, 3]})
+    made, real = [], training.Recipe.estimator
+
+    def seen(self, params=None):
+        made.append(params)
+        return real(self, params)
+
+    monkeypatch.setattr(training.Recipe, "estimator", seen)
+    trained = training.train(data, recipe, KEY, {"maxIter": 3}, training.Search(n_iter=2, folds=2))
+    assert made == [{"maxIter": 3}]
+    fitted = trained.model.stages[-1]
+    assert fitted.getNumTrees == 3 and fitted.getMaxDepth() == trained.params["maxDepth"] and trained.params["maxIter"] == 3
