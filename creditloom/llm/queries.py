@@ -106,20 +106,20 @@ def op5_token_rollups(spark: SparkSession, sf_dir: str) -> DataFrame:
     first, second = "byte_bpe_50k", "byte_bpe_multi_50k"
     paths = [public_tokenizers.path(f"{name}.tiktoken") for name in (first, second)]
     keep = ["doc_id", "source", "lang"]
-    counts = rollups.counted(docs, paths, keep).select("row.*", *[F.col("counts")[k].alias(f"n{k}") for k in (0, 1)])
+    # the new counts are taken in the same pass, so that no text has to meet its labels in a join
+    counts = rollups.counted(docs, paths, keep, without="#*$%&|<>")
+    counts = counts.select("row.*", *[F.col("counts")[k].alias(f"n{k}") for k in (0, 1, 2)])
     counts = materialise(counts, "counts")
     marked = labels.groupBy("doc_id").agg(F.max("toxic").alias("toxic"), F.min("quality").alias("quality"))
     toxic = marked.filter("toxic = 1").select("doc_id")
     poor = marked.filter("quality = 0 and coalesce(toxic, 0) <> 1").select("doc_id")
-    plain = docs.join(poor, "doc_id").withColumn("text", F.regexp_replace("text", r"[#*$%&|<>]+", ""))
-    again = rollups.counted(plain, paths, ["doc_id"]).select("row.doc_id", F.col("counts")[0].alias("new"))
 
     change = lambda op, tokenizer, tokens, old=F.lit(None): [
         F.lit(op).alias("op"), "source", "lang", F.lit(tokenizer).alias("tokenizer"), tokens.alias("tokens"), old.cast("long").alias("old_tokens")
     ]
     inserted = counts.select(*change("insert", first, F.col("n0")))
     deleted = counts.join(toxic, "doc_id").select(*change("delete", first, F.col("n0")))
-    revised = counts.join(again.groupBy("doc_id").agg(F.max("new").alias("new")), "doc_id").select(*change("revise", first, F.col("new"), F.col("n0")))
+    revised = counts.join(poor, "doc_id").select(*change("revise", first, F.col("n2"), F.col("n0")))
     others = counts.filter("lang <> 'en'").join(marked.filter("toxic = 1 or quality = 0").select("doc_id"), "doc_id", "left_anti")
     moved = others.select(*change("delete", first, F.col("n0"))).unionByName(others.select(*change("insert", second, F.col("n1"))))
 

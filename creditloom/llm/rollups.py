@@ -42,13 +42,24 @@ def _encoder(path: str):
     return _ENCODERS[path]
 
 
-def counted(docs: DataFrame, ranks: list[str], keep: list[str] | None = None) -> DataFrame:
-    """``row`` and ``counts``: tokens of each whole text by each of the rank files."""
+def counted(docs: DataFrame, ranks: list[str], keep: list[str] | None = None, without: str = "") -> DataFrame:
+    """``row`` and ``counts``: tokens of each whole text by each of the rank files.
+
+    With ``without``, one count more: by the first file, of the text less those characters.
+    """
+    gone = str.maketrans("", "", without)
 
     def run(rows: pa.RecordBatch, raw, off) -> list:
         data = raw.tobytes()
-        texts = [data[s:e].decode("utf-8", "replace") for s, e in zip(off[:-1].tolist(), off[1:].tolist())]
-        return [[[len(_encoder(path).encode_ordinary(text)) for path in ranks] for text in texts]]
+        found = []
+        for s, e in zip(off[:-1].tolist(), off[1:].tolist()):
+            text = data[s:e].decode("utf-8", "replace")
+            counts = [len(_encoder(path).encode_ordinary(text)) for path in ranks]
+            if without:
+                less = text.translate(gone)
+                counts.append(len(_encoder(ranks[0]).encode_ordinary(less)) if len(less) < len(text) else counts[0])
+            found.append(counts)
+        return [found]
 
     return annotate(docs, run, "counts array<long>", keep)
 
