@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from creditloom.llm.text import annotate, lower_ascii, prefix_hash, range_hash, slices, windows, word_table, words
+from creditloom.llm.text import annotate, kept, lower_ascii, prefix_hash, range_hash, slices, windows, word_table, words
 from creditloom.sources.tables import materialise
 
 WINDOW = 10
@@ -109,6 +109,7 @@ def mark(docs: DataFrame, items: DataFrame, n: int = WINDOW, keep: list[str] | N
         held = session.sparkContext.broadcast(Windows(some.toArrow(), n))
 
         def run(rows: pa.RecordBatch, raw: np.ndarray, off: np.ndarray) -> list:
+            kept(None)
             low, starts, ends, first, hashes = normalised(raw, off)
             hit = np.zeros(len(starts) + 1, np.int64)  # +1 where an occurrence begins, -1 after it
             texts = len(off) - 1
@@ -141,8 +142,8 @@ def mark(docs: DataFrame, items: DataFrame, n: int = WINDOW, keep: list[str] | N
 
 def _in_parts(docs: DataFrame, scan, parts: int, keep: list[str] | None) -> DataFrame:
     """One scan for each part of a large benchmark, its marks merged into those found so far."""
-    kept = docs.columns if keep is None else keep
-    row = F.struct(*[docs[f"`{c}`"] for c in kept])
+    columns = docs.columns if keep is None else keep
+    row = F.struct(*[docs[f"`{c}`"] for c in columns])
     found = docs.select(
         row.alias("given"), docs["text"].alias("text"), F.lit(0).cast("long").alias("n_words"),
         F.lit(None).cast("array<string>").alias("items"), F.lit(None).cast("array<struct<start:long,end:long>>").alias("spans"),

@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from creditloom.llm.text import (
-    BLANK_SEPARATED, WordIds, annotate, per_text, prefix_hash, range_hash, windows, words,
+    BLANK_SEPARATED, WordIds, annotate, kept, per_text, prefix_hash, range_hash, windows, words,
 )
 
 # Fixed values of the base rules.
@@ -63,18 +63,14 @@ MEASURES = (
     "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, "
     "n_tokens long, chars_per_token double, byte_share double, token_entropy double, script string"
 )
-_VOCABULARIES: dict[str, tuple] = {}
-
 
 def _vocabulary(path: str):
-    """The vocabulary's table of words and which of its ids are bytes, kept by the worker."""
-    if path not in _VOCABULARIES:
-        from sentencepiece import SentencePieceProcessor
+    """The vocabulary's table of words, and which of its ids are bytes."""
+    from sentencepiece import SentencePieceProcessor
 
-        model = SentencePieceProcessor(model_file=path)
-        table = WordIds(lambda found: model.encode([w.decode("utf-8", "replace") for w in found], num_threads=1))
-        _VOCABULARIES[path] = table, np.array([model.is_byte(i) for i in range(model.get_piece_size())])
-    return _VOCABULARIES[path]
+    model = SentencePieceProcessor(model_file=path)
+    table = WordIds(lambda found: model.encode([w.decode("utf-8", "replace") for w in found], num_threads=1))
+    return table, np.array([model.is_byte(i) for i in range(model.get_piece_size())])
 
 
 def repeated_words(threes: np.ndarray) -> int:
@@ -114,7 +110,7 @@ def measure(docs: DataFrame, vocabulary: str, keep: list[str] | None = None) ->
     names = np.array([*SCRIPTS, "other"], object)
 
     def run(rows: pa.RecordBatch, raw: np.ndarray, off: np.ndarray) -> list:
-        table, is_byte = _vocabulary(vocabulary)
+        table, is_byte = kept(("fertility", vocabulary), lambda: _vocabulary(vocabulary))
         starts, ends, first = words(raw, off, BLANK_SEPARATED)
         hashes = range_hash(prefix_hash(raw), starts, ends)
         threes = windows(hashes, 3)
@@ -149,10 +145,10 @@ def _within(band: Band) -> Column:
     per_token = F.col("chars_per_token")
     tests = [(least, per_token >= F.lit(least)), (most, per_token <= F.lit(most))]
     tests += [(byte_share, 100 * F.col("byte_share") <= F.lit(byte_share)), (bits, F.col("token_entropy") >= F.lit(bits))]
-    kept = F.lit(True)
+    inside = F.lit(True)
     for bound, test in tests:
-        kept = kept & (F.coalesce(test, F.lit(False)) if bound is not None else F.lit(True))
-    return kept
+        inside = inside & (F.coalesce(test, F.lit(False)) if bound is not None else F.lit(True))
+    return inside
 
 
 def judge(measured: DataFrame, lang: Column | None = None, languages: dict[str, Band] | None = None, scripts: dict[str, Band] | None = None) -> DataFrame:

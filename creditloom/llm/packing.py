@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from creditloom.llm.text import SPACES, WordIds, lower_ascii, prefix_hash, range_hash, slices, word_table, words
+from creditloom.llm.text import SPACES, WordIds, kept, lower_ascii, prefix_hash, range_hash, slices, word_table, words
 from creditloom.sources.tables import materialise
 
 OPEN_BINS = 512
@@ -38,38 +38,34 @@ _CUT[0x27] = 8
 _CUT[0x80:] = 8
 _CUT[list(SPACES)] = 16
 
-_TABLES: dict[str, tuple] = {}
-
 
 def _tokenizer(path: str):
-    """The tokenizer and its table of words, kept by the worker between tasks."""
-    if path not in _TABLES:
-        from tokenizers import Tokenizer
-
-        tokenizer = Tokenizer.from_file(path)
-        ends = np.zeros(max(tokenizer.get_vocab().values()) + 1, bool)
-        ends[[i for token, i in tokenizer.get_vocab().items() if token.endswith("</w>")]] = True
-
-        def encode(found: list[bytes]) -> list[np.ndarray]:
-            """Single tokens of the pre-tokenizer go together; the mark of a word's end parts them."""
-            texts = [w.decode("utf-8", "replace") for w in found]
-            plain = [i for i, w in enumerate(texts) if w.isalpha()]
-            out: list = [None] * len(found)
-            for k in range(0, len(plain), 500):
-                some = plain[k : k + 500]
-                ids = np.array(tokenizer.encode(" ".join([texts[i] for i in some]), add_special_tokens=False).ids, np.int32)
-                parts = np.flatnonzero(ends[ids])
-                if len(parts) == len(some):  # else lower case has made a word into several tokens
-                    for i, s, e in zip(some, [0, *(parts[:-1] + 1).tolist()], (parts + 1).tolist()):
-                        out[i] = ids[s:e]
-            rest = [i for i, w in enumerate(out) if w is None]
-            for i, e in zip(rest, tokenizer.encode_batch([texts[i] for i in rest], add_special_tokens=False)):
-                out[i] = e.ids
-            return out
-
-        special = [t.content.encode() for t in tokenizer.get_added_tokens_decoder().values()]
-        _TABLES[path] = tokenizer, WordIds(encode), special
-    return _TABLES[path]
+    """The tokenizer, its table of words and the spelling of its special tokens."""
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(path)
+    ends = np.zeros(max(tokenizer.get_vocab().values()) + 1, bool)
+    ends[[i for token, i in tokenizer.get_vocab().items() if token.endswith("</w>")]] = True
+
+    def encode(found: list[bytes]) -> list[np.ndarray]:
+        """Single tokens of the pre-tokenizer go together; the mark of a word's end parts them."""
+        texts = [w.decode("utf-8", "replace") for w in found]
+        plain = [i for i, w in enumerate(texts) if w.isalpha()]
+        out: list = [None] * len(found)
+        for k in range(0, len(plain), 500):
+            some = plain[k : k + 500]
+            ids = np.array(tokenizer.encode(" ".join([texts[i] for i in some]), add_special_tokens=False).ids, np.int32)
+            parts = np.flatnonzero(ends[ids])
+            if len(parts) == len(some):  # else lower case has made a word into several tokens
+                for i, s, e in zip(some, [0, *(parts[:-1] + 1).tolist()], (parts + 1).tolist()):
+                    out[i] = ids[s:e]
+        rest = [i for i, w in enumerate(out) if w is None]
+        for i, e in zip(rest, tokenizer.encode_batch([texts[i] for i in rest], add_special_tokens=False)):
+            out[i] = e.ids
+        return out
+
+    special = [t.content.encode() for t in tokenizer.get_added_tokens_decoder().values()]
+    return tokenizer, WordIds(encode), special
 
 
 def _piece_schema(key: pa.DataType, with_ids: bool) -> pa.Schema:
@@ -93,7 +89,7 @@ def tokenise(docs: DataFrame, tokenizer: str, end_id: int = 1, longest: int = 40
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        whole, table, special = _tokenizer(tokenizer)
+        whole, table, special = kept(("packing", tokenizer), lambda: _tokenizer(tokenizer))
         for rows, raw, off in slices(batches, "text"):
             low = lower_ascii(raw)
             starts, ends, first = words(low, off, _INSIDE, _CUT)

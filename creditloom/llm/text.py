@@ -10,12 +10,25 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-SLICE_BYTES = 4_000_000
+SLICE_BYTES = 1_000_000
 SPACES = bytes([0x20, *range(0x09, 0x0E)])
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 2**64))
 _SYMBOLS = np.random.default_rng(20240607).integers(1, 2**63, 256, dtype=np.uint64) | np.uint64(1)
 _POWERS: dict[str, np.ndarray] = {}
+_KEPT: dict[tuple, object] = {}
+
+
+def kept(key: tuple | None, make: Callable | None = None):
+    """What a worker keeps from task to task: the thing made for ``key``, and nothing made for another."""
+    others = [k for k in _KEPT if k != key]
+    for other in others:
+        del _KEPT[other]
+    if others:
+        pa.default_memory_pool().release_unused()
+    if key is not None and key not in _KEPT:
+        _KEPT[key] = make()
+    return _KEPT.get(key)
 
 
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -137,7 +150,7 @@ class WordIds:
     ``encode`` takes a list of words and returns a list of id lists.
     """
 
-    def __init__(self, encode: Callable[[list[bytes]], list], most: int = 1_500_000):
+    def __init__(self, encode: Callable[[list[bytes]], list], most: int = 600_000):
         self.encode, self.most = encode, most
         self._clear()
 
