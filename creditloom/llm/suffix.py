@@ -38,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from creditloom.llm.text import annotate, mix, prefix_hash, slices
+from creditloom.llm.text import annotate, kept, mix, prefix_hash, slices
 from creditloom.sources.tables import materialise
 
 LENGTH = 400
@@ -101,6 +101,7 @@ def _anchored(texts: DataFrame, length: int, width: int) -> DataFrame:
     """(h, tkey, m, lo, hi) of all texts (tkey, text)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kept(None)
         for rows, raw, off in slices(batches, "text"):
             text, m, lo, hi, h = anchors(raw, off, length, width)
             tkey = rows.column("tkey").to_numpy()
@@ -247,8 +248,8 @@ def _ordered(strings: DataFrame, length: int, width: int, buckets: int) -> DataF
         some = [i for i, x in enumerate(found) if x]
         kind = pa.list_(pa.struct([("near", pa.int32()), ("far", pa.int32())]))
         ranges = pa.array([[{"near": s, "far": e} for s, e in found[i]] for i in some], kind)
-        kept = bucket.select(["h", "skey"]).take(pa.array(some, pa.int64()))
-        return kept.append_column("ranges", ranges)
+        marked = bucket.select(["h", "skey"]).take(pa.array(some, pa.int64()))
+        return marked.append_column("ranges", ranges)
 
     dealt = strings.withColumn("bucket", F.pmod(F.xxhash64("h"), F.lit(buckets)))
     return dealt.select("bucket", "h", "skey", "at", "weight", "bytes").groupBy("bucket").applyInArrow(
@@ -325,8 +326,11 @@ def spans(docs: DataFrame, length: int = LENGTH, width: int = WIDTH, crowd: int
 CUT = f"n_bytes long, n_removed long, removed {SPANS}, kept binary"
 
 
-def removed(docs: DataFrame, length: int = LENGTH, keep: list[str] | None = None) -> DataFrame:
-    """``row``, n_bytes, n_removed, removed (the maximal runs of bytes that go) and kept (the bytes that stay)."""
+def removed(docs: DataFrame, length: int = LENGTH, keep: list[str] | None = None, with_text: bool = False) -> DataFrame:
+    """``row``, n_bytes, n_removed, removed (the maximal runs of bytes that go) and kept (the bytes that stay).
+
+    With ``with_text``, instead of kept: new_text, the text of what stays where something goes, else null.
+    """
     columns = docs.columns if keep is None else keep
     row = F.struct(*[docs[f"`{c}`"] for c in columns])
     keyed = docs.select(row.alias("row"), docs["text"].alias("text"), F.xxhash64(docs["text"]).alias("tkey"))
@@ -345,13 +349,15 @@ def removed(docs: DataFrame, length: int = LENGTH, keep: list[str] | None = None
                 else:
                     runs.append(list(x))
             edges = [0, *(b for r in runs for b in r), len(text)]
-            kept = b"".join(text[s:e] for s, e in zip(edges[::2], edges[1::2]))
-            row = (len(text), len(text) - len(kept), [{"start": s, "end": e} for s, e in runs], kept)
+            left = b"".join(text[s:e] for s, e in zip(edges[::2], edges[1::2]))
+            last = left if not with_text else left.decode("utf-8", "ignore") if runs else None
+            row = (len(text), len(text) - len(left), [{"start": s, "end": e} for s, e in runs], last)
             for column, value in zip(out, row):
                 column.append(value)
         return out
 
-    cut = annotate(joined, run, CUT, keep=["row", "spans"])
+    columns = CUT.replace("kept binary", "new_text string") if with_text else CUT
+    cut = annotate(joined, run, columns, keep=["row", "spans"])
     return cut.select("row.row", *[c for c in cut.columns if c != "row"])
 
 
@@ -361,18 +367,8 @@ def without_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     A character of which a cut leaves only some bytes goes too.  Texts without repeats, null
     included, stay as they are.
     """
-    found = removed(docs, length)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            texts = [None if x is None else x.decode("utf-8", "ignore") for x in batch.column("kept").to_pylist()]
-            yield pa.record_batch([batch.column("row"), batch.column("n_removed"), pa.array(texts, pa.string())], names=["row", "n_removed", "new_text"])
-
-    from pyspark.sql.types import LongType, StringType, StructField, StructType
-
-    narrow = found.select("row", "n_removed", F.when(F.col("n_removed") > 0, F.col("kept")).alias("kept"))
-    schema = StructType([narrow.schema["row"], StructField("n_removed", LongType()), StructField("new_text", StringType())])
-    decoded = narrow.mapInArrow(run, schema)
+    # one Python step for both the cut and its text: two in a row would hold twice the workers
+    decoded = removed(docs, length, with_text=True)
     new = {"text": F.when(F.col("n_removed") > 0, F.col("new_text")).otherwise(F.col("row.text"))}
     if "n_chars" in docs.columns:
         count = F.length("new_text").cast(docs.schema["n_chars"].dataType)

@@ -376,6 +376,9 @@ def test_counts_of_whole_texts(docs, rows):
     got = {r.doc_id: r.counts for r in rollups.counted(docs, [path], ["doc_id"]).select("row.doc_id", "counts").collect()}
     whole = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
     assert got == {i: [len(whole.encode(t or "", add_special_tokens=False).ids)] for i, t in rows}
+    less = rollups.counted(docs, [path], ["doc_id"], without="ab").select("row.doc_id", F.col("counts")[1]).collect()
+    less = {r[0]: r[1] for r in less}
+    assert less == {i: len(whole.encode((t or "").translate({97: None, 98: None}), add_special_tokens=False).ids) for i, t in rows}
 
 
 # -- language identification ------------------------------------------------------------------
