@@ -4,7 +4,8 @@
 and takes characters per token, the share of byte tokens and the entropy of the token distribution.
 ``judge`` rejects what lies outside the band of the text's language or, failing that, its script.
 Text a vocabulary was not made for (symbol noise, broken encodings, random letters) breaks into
-short tokens or bytes; text that repeats a few tokens has low entropy.
+short tokens or bytes; text that repeats a few tokens has low entropy.  A text of n tokens has at
+most log2(n) bits, so the least entropy is the band's or ENTROPY_SHARE of that, whichever is lower.
 
 One pass, no shuffle, nothing kept between texts but a bounded table of encoded words.
 
@@ -27,6 +28,7 @@ from creditloom.llm.text import (
 SYMBOLS = b"#*$%&|<>"
 LEAST_WORDS = 50
 MOST_REPEATED = 50  # per cent of the words
+ENTROPY_SHARE = 0.7  # of log2(tokens): clean text of 50 words has 0.8 and more
 
 #: Lead bytes of UTF-8 that stand for a script.
 SCRIPTS = {
@@ -41,7 +43,7 @@ _SCRIPT = np.full(256, len(SCRIPTS), np.uint8)
 for _k, _bytes in enumerate(SCRIPTS.values()):
     _SCRIPT[_bytes] = _k
 
-#: (least characters per token, most, most byte tokens per cent, least entropy in bits); None: no bound.
+#: (least characters per token, most, most byte tokens per cent, least entropy in bits of a long text); None: no bound.
 Band = tuple[float | None, float | None, float | None, float | None]
 SCRIPT_BANDS: dict[str, Band] = {
     "latin": (1.5, 8.0, 5.0, 3.5),
@@ -53,10 +55,10 @@ SCRIPT_BANDS: dict[str, Band] = {
     "other": (0.3, 12.0, 50.0, 3.5),
 }
 LANGUAGE_BANDS: dict[str, Band] = {
-    "en": (2.0, 8.0, 2.0, 5.2),
-    "de": (2.0, 8.0, 3.0, 5.2),
-    "fr": (1.7, 8.0, 3.0, 5.2),
-    "es": (1.75, 8.0, 3.0, 5.2),
+    "en": (1.7, 8.0, 2.0, 5.2),
+    "de": (1.7, 8.0, 3.0, 5.2),
+    "fr": (1.55, 8.0, 3.0, 5.2),
+    "es": (1.65, 8.0, 3.0, 5.2),
 }
 
 MEASURES = (
@@ -144,7 +146,8 @@ def _within(band: Band) -> Column:
     least, most, byte_share, bits = band
     per_token = F.col("chars_per_token")
     tests = [(least, per_token >= F.lit(least)), (most, per_token <= F.lit(most))]
-    tests += [(byte_share, 100 * F.col("byte_share") <= F.lit(byte_share)), (bits, F.col("token_entropy") >= F.lit(bits))]
+    floor = F.least(F.lit(bits), ENTROPY_SHARE * F.log2("n_tokens"))
+    tests += [(byte_share, 100 * F.col("byte_share") <= F.lit(byte_share)), (bits, F.col("token_entropy") >= floor)]
     inside = F.lit(True)
     for bound, test in tests:
         inside = inside & (F.coalesce(test, F.lit(False)) if bound is not None else F.lit(True))

@@ -81,6 +81,44 @@ def test_fertility_bands(spark):
     assert got[2].byte_share > 0.5 and not got[2].kept and got[3].script == "latin"
 
 
+#: Clean prose, 76 to 80 words each; their first 50 words are clean as well.
+CLEAN = {
+    "en": "The library stands at the end of the market street, and the people of the town come to it on the way home from "
+    "the mill. In the winter the rooms are warm and the lamps are lit by four in the afternoon. A few of the readers "
+    "ask for the papers of the day, but most of the children want the old book of maps in the hall. When the bell of "
+    "the church rings, the doors are closed.",
+    "de": "Die Bibliothek steht am Ende der Straße, und die Leute aus der Stadt kommen auf dem Weg nach Hause an der Tür "
+    "vorbei. Im Winter sind die Räume warm, und die Lampen brennen schon um vier Uhr am Nachmittag. Einige der Leser "
+    "fragen nach der Zeitung, aber die meisten Kinder wollen das alte Buch mit den Karten sehen, das in der Halle liegt. "
+    "Wenn die Glocke der Kirche läutet, wird die Tür geschlossen, und alle gehen nach Hause.",
+    "fr": "La bibliothèque se trouve au bout de la rue du marché, et les gens de la ville y viennent sur le chemin de la "
+    "maison. En hiver les salles sont chaudes et les lampes sont allumées à quatre heures de la journée. Une partie "
+    "des lecteurs demande le journal du jour, mais les enfants veulent voir le vieux livre de cartes de la grande "
+    "salle. À la fin de la journée la cloche de l'église sonne et la porte est fermée.",
+    "es": "La biblioteca está al final de la calle del mercado, y la gente de la ciudad pasa por ella en el camino de la "
+    "casa. En el invierno las salas son cálidas y las lámparas están encendidas a las cuatro de la tarde. Una parte de "
+    "los lectores pide el diario de la mañana, pero los niños quieren ver el viejo libro de mapas de la gran sala. Al "
+    "final del día suena la campana de la iglesia y se cierra la puerta.",
+}
+
+
+def test_short_clean_texts_stay(spark):
+    """Texts of 50 to 80 words, whose entropy is bounded by their length, and of the given tables' shortest tokens."""
+    rows = [(f"{lang} {n}", " ".join(t.split()[:n]), lang) for lang, t in CLEAN.items() for n in (50, 60, 70, 80)]
+    given = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").filter("doc_id in (8007, 8602, 3516, 4075)")
+    rows += [(f"given {r.doc_id}", r.text, r.lang) for r in given.collect()]
+    pick = random.Random(2)
+    letters = " ".join("".join(pick.choices("abcdefghijklmnopqrstuvwxyz", k=6)) for _ in range(80))
+    few = " ".join(pick.choices("alpha tree house river stone cloud light green table paper".split(), k=50))
+    junk = [("letters", letters, "en"), ("letters", letters, "de"), ("few words", few, "en"), ("few words", few, "fr")]
+    df = spark.createDataFrame(rows + junk, "doc_id string, text string, lang string")
+    judged = fertility.judge(fertility.measure(df, VOCABULARY), F.col("row.lang")).filter("not base_failed")
+    got = [(r.doc_id, r.kept, r.token_entropy, r.chars_per_token) for r in judged.select("row.doc_id", "kept", "token_entropy", "chars_per_token").collect()]
+    assert {x for x, *_ in got} >= {x for x, *_ in rows if not x.startswith("given")} | {"letters"}
+    assert [x for x in got if not x[1] and x[0] not in ("letters", "few words")] == []
+    assert [x for x in got if x[1] and x[0] in ("letters", "few words")] == []
+
+
 # -- benchmark decontamination ----------------------------------------------------------------
 
 
