@@ -163,6 +163,25 @@ def test_groups(docs, rows, monkeypatch, few):
     assert got == plain.groups(rows)
 
 
+@pytest.mark.parametrize("block", [jaccard.BLOCK_CLASSES, 3])
+def test_number_of_links(spark, rows, monkeypatch, block):
+    """All pairs count, also those inside a group, with copies, and with groups cut into small blocks."""
+    monkeypatch.setattr(jaccard, "BLOCK_CLASSES", block)
+    pick = random.Random(8)
+    base = _words(pick, 120, 3000)
+    near = []
+    for k in range(25):  # one group: some above the threshold of each other, some only by way of others, of unlike sizes
+        at = pick.randrange(100)
+        near.append(" ".join(base[:at] + [f"own{k}"] + base[at + 1 : 120 - 2 * (k % 8)] + [f"more{k}"] * (k % 4)))
+    rows = list(enumerate([t for _, t in rows] + near + near[:2] * 2))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r.n_links for r in jaccard.join(df).collect()}
+    sets = [plain.shingles(t) for _, t in rows]
+    link = lambda a, b: bool(a and b) and 100 * len(a & b) >= 75 * len(a | b)
+    assert got == {i: sum(link(sets[i], sets[j]) for j, _ in rows if j != i) for i, _ in rows}
+    assert max(got.values()) >= 20
+
+
 def _all_frequent(init):
     def start(self, counters):
         init(self, counters)
