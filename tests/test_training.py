@@ -80,3 +80,11 @@ def test_search_and_fit_are_one_estimator(spark, data, monkeypatch):
     assert made == [{"maxIter": 3}]
     fitted = trained.model.stages[-1]
     assert fitted.getNumTrees == 3 and fitted.getMaxDepth() == trained.params["maxDepth"] and trained.params["maxIter"] == 3
+
+
+def test_single_forests_lie_inside_the_search_space():
+    from creditloom.catalog.queries import FOREST
+
+    for name in ("numTrees", "maxDepth"):
+        low, high = training.FOREST_SPACE[name]
+        assert low <= FOREST[name] < high
