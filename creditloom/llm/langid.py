@@ -8,7 +8,7 @@ vector per language.  Scoring is matrix products over batches of blocks: presenc
 x weights.  Whole texts count: a text is cut into blocks, and its margins are their mean by letters.
 
 Fitting takes a bounded sample: ``FIT_BLOCKS`` blocks in all, shared evenly among the languages (at
-least 20 each), chosen by hash.  Everything else covers all rows.
+least 20 each), chosen by hash; copies of a text or a block count once.  Everything else covers all rows.
 
 Edge cases: a null text, or one without a letter, is ``und`` with score 0; a text that shares no
 n-gram with any landmark has score 0; without labelled rows all is ``und``; null languages are not
@@ -91,12 +91,14 @@ def kernel(one: np.ndarray, other: np.ndarray) -> np.ndarray:
 def _samples(labelled: DataFrame) -> DataFrame:
     """(lang, order, codes) of the blocks that the model is fitted on."""
     known = labelled.filter("lang is not null and text is not null").select(F.col("lang").cast("string").alias("lang"), "text")
-    counts = materialise(known.groupBy("lang").agg(F.count("*").alias("n")), "languages")
+    known = known.withColumn("copy", F.xxhash64("text"))
+    counts = materialise(known.groupBy("lang", "copy").agg(F.lit(1)).groupBy("lang").agg(F.count("*").alias("n")), "languages")
     each = max(20, FIT_BLOCKS // max(1, counts.count()))
     # enough rows for every language's share, then exactly its share by hash
     rate = F.lit(2.0 * each) / F.col("n")
     unit = (F.xxhash64("lang", "text") / F.lit(2.0**64)) + 0.5
-    some = known.join(F.broadcast(counts) if counts.count() < 10_000 else counts, "lang").filter(unit < rate).select("lang", "text")
+    some = known.join(F.broadcast(counts) if counts.count() < 10_000 else counts, "lang").filter(unit < rate)
+    some = some.dropDuplicates(["lang", "copy"]).select("lang", "text")
     narrow = some.select("lang", F.col("text").cast("string").cast("binary").alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -116,7 +118,8 @@ def _samples(labelled: DataFrame) -> DataFrame:
                 out[2].append(codes)
             yield pa.record_batch([pa.array(out[0], pa.string()), pa.array(out[1], pa.int64()), pa.array(out[2], pa.list_(pa.int32()))], names=["lang", "order", "codes"])
 
-    cut = materialise(narrow.mapInArrow(run, "lang string, order long, codes array<int>"), "blocks")
+    cut = narrow.mapInArrow(run, "lang string, order long, codes array<int>")
+    cut = materialise(cut.dropDuplicates(["lang", "order"]), "blocks")
     # a text gives as many blocks as it is long: thin out before ranking, so that no language's rank is one huge sort
     made = cut.groupBy("lang").agg(F.count("*").alias("made"))
     thin = cut.join(made, "lang").filter((F.col("order") / F.lit(2.0**64)) + 0.5 < F.lit(3.0 * each) / F.col("made"))

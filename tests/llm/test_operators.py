@@ -461,3 +461,12 @@ def test_blocks_cover_whole_texts():
     off = np.array([0, 0, 5, 5 + 2 * langid.BLOCK + 1, 5 + 2 * langid.BLOCK + 1])
     bounds, count = langid.blocks(off)
     assert count.tolist() == [0, 1, 3, 0] and bounds[0] == 0 and bounds[-1] == off[-1] and (np.diff(bounds) > 0).all()
+
+
+def test_copies_do_not_crowd_the_fit_sample(spark):
+    pick = random.Random(4)
+    other = [" ".join("".join(pick.choices("abcdefgh", k=6)) for _ in range(20)) for _ in range(30)]
+    rows = [(f"copied text of many rows number {k} again and again", "en") for k in range(3) for _ in range(3000)]
+    rows += [(t, "en") for t in other]
+    got = langid._samples(spark.createDataFrame(rows, "text string, lang string")).collect()
+    assert len(got) == 33 and len({r.order for r in got}) == 33
