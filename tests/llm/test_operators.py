@@ -205,6 +205,15 @@ def test_rows_without_id_and_repeated_rows(spark):
     assert sorted((r.doc_id for r in jaccard.one_of_each(df).collect()), key=str) == [2, None, None]
 
 
+def test_repeated_id_with_different_texts(spark):
+    """A text of its own stays although its doc_id repeats; a copy of another document goes."""
+    one, two, three = (" ".join(f"{c}{k}" for k in range(30)) for c in "abc")
+    rows = [(4, one), (4, two), (4, one), (4, three), (2, three), (5, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    left = sorted(((r.doc_id, r.text) for r in jaccard.one_of_each(df).collect()), key=str)
+    assert left == sorted([(4, one), (4, two), (2, three), (5, None)], key=str)
+
+
 def test_components(spark):
     pick = random.Random(3)
     links = [(pick.randrange(300), pick.randrange(300)) for _ in range(180)] + [(1000 + k, 1001 + k) for k in range(60)] + [(5, 5)]
