@@ -98,3 +98,74 @@ with parsed as (
 )
 select page_id, host, path, rule, coalesce(verdict, 'allow') as verdict from parsed left join fitting using (page_id)
 """
+
+SQL["op11_spelling_chunks"] = r"""
+with recursive found as (
+    select doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[a-zÀ-ÿ]+')) as w
+    from documents
+), run as (
+    select w, k, cast(k as integer) as times, hex(encode(coalesce(doc_id::varchar, '') || ':' || w)) as digits
+    from (select doc_id, w, count(*) as k from found group by doc_id, w)
+), nibble as (  -- the checksum's table for four bits, by its rule
+    select list(c order by k) as t from (
+        select k, list_reduce([k, 0, 0, 0, 0]::bigint[], lambda c, x: xor(c >> 1, 3988292384 * (c & 1))) as c
+        from (select unnest(range(0, 16))::bigint as k))
+), summed as (  -- four bits at a time, each byte's low half first
+    select w, times, 4294967295 - list_reduce(
+            list_prepend(4294967295::bigint, list_transform(range(0, length(digits)),
+                lambda i: (strpos('0123456789ABCDEF', digits[i + 2 - 2 * (i % 2)]) - 1)::bigint)),
+            lambda c, d: xor(c >> 4, t[(xor(c, d) & 15) + 1])) as h
+    from run, nibble
+), changed as (
+    select case when h % 97 = 0 then substr(w, 1, (h % length(w))::int) || substr(w, (h % length(w))::int + 2) else w end as word, times
+    from summed
+), word as (
+    select word, sum(times)::bigint as n from changed where length(word) >= 5 group by word having sum(times) >= 3
+), gap as (
+    select word, n, i, substr(word, 1, i - 1) || substr(word, i + 1) as rest
+    from (select word, n, unnest(range(1, length(word) + 1))::int as i from word)
+), near as (
+    select a.word, b.word as other, b.n as m from gap a join gap b on a.rest = b.rest and a.i = b.i and a.word <> b.word
+    union select a.word, b.word, b.n from gap a join word b on a.rest = b.word
+    union select b.word, a.word, a.n from gap a join word b on a.rest = b.word
+), best as (
+    select word, count(*) as n_near, (list({'m': -m, 'other': other} order by -m, other))[1] as best from near group by word
+), named as (
+    select word, n, coalesce(n_near, 0)::bigint as n_near,
+        case when -best.m >= 2 * n then best.other end as form, case when -best.m >= 2 * n then -best.m end::bigint as form_n
+    from word left join best using (word)
+), step(word, root) as (
+    select word, word from named
+    union all
+    select step.word, named.form from step join named on named.word = step.root where named.form is not null
+)
+select named.word, named.form, step.root, named.n, named.n_near, named.form_n
+from named join step on step.word = named.word join named as ending on ending.word = step.root and ending.form is null
+"""
+
+SQL["op13_bag_search"] = r"""
+with doc as (
+    select doc_id, row_number() over () as r, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+        'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) as term
+    from documents
+), asked as (
+    select distinct item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+        'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) as term
+    from benchmark
+), size as (select r, count(*) as n from doc group by r
+), total as (select count(*) as documents, sum(n)::bigint as terms from size
+), held as (select r, term, count(*)::bigint as tf from doc where term in (select term from asked) group by r, term
+), weight as (
+    select term, floor(1000 * ln((2 * documents + 2)::double / (2 * df + 1)::double))::bigint as w
+    from (select term, count(*) as df from held group by term), total
+), part as (
+    select r, term, w * ((1000000000 * tf) // (1000 * tf + 20 * (50 + (50 * n * documents) // terms))) as s
+    from held join size using (r) join weight using (term), total
+), score as (select item_id, r, sum(s)::bigint as score from part join asked using (term) group by item_id, r
+), ranked as (
+    select item_id, doc_id, score, row_number() over (partition by item_id order by score desc, doc_id nulls last) as rank
+    from score join (select distinct r, doc_id from doc) using (r) where score > 0
+)
+select item_id, rank::int as rank, doc_id, score from ranked where rank <= 50
+"""

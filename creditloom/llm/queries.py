@@ -8,7 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from creditloom.llm import decontaminate, fertility, jaccard, langid, packing, ring, rollups, suffix, url_rules, warc
+from creditloom.llm import (
+    decontaminate, fertility, guesses, jaccard, langid, packing, ranking, ring, rollups, spelling, suffix, url_rules, warc,
+)
 from creditloom.sources.tables import materialise, shared_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -138,3 +140,24 @@ def op10_string_kernel(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = langid.fit(docs.filter(~held_out).select("text", "lang"))
     found = langid.predict(docs.select("doc_id", "text"), model, keep=["doc_id"])
     return found.select("row.doc_id", (langid.fold(F.col("row.doc_id")) == 2).alias("held_out"), "lang_pred", "score")
+
+
+@query
+def op11_spelling_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(table(spark, sf_dir, "documents"), spelling.DROP_EVERY)
+
+
+@query
+def op12_secret_guesses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = guesses.scan(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), keep=["doc_id"])
+    base = F.filter("spans", lambda x: x["kind"] != "guess")
+    count = lambda kind: F.size(F.filter("spans", lambda x: x["kind"] == kind)).cast("long").alias(f"n_{kind}")
+    return found.select(
+        "row.doc_id", count("assign"), count("access"), count("hex"), F.sha2(guesses.listed(base), 256).alias("base_sha256"),
+        guesses.listed(F.col("spans")).alias("spans"), count("guess"),
+    )
+
+
+@query
+def op13_bag_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranking.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
