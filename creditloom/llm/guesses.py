@@ -96,6 +96,11 @@ def brute(char: str) -> float:
     return log10(33) if char < "\x80" else 2.0
 
 
+def lowered(value: str) -> str:
+    """Lower case, character by character; what would become two stays."""
+    return "".join(c.lower() if len(c.lower()) == 1 else c for c in value)
+
+
 def capitals(word: str) -> float:
     """The ways to capitalise a word as this one is."""
     upper = sum(c != c.lower() for c in word)
@@ -113,9 +118,7 @@ def step(a: str, b: str) -> int | None:
 
 def guess_cost(value: str, rank: dict[str, int]) -> float:
     """The decimal logarithm of the guesses that the cheapest cut of ``value`` takes."""
-    n, low = len(value), value.lower()
-    if len(low) != n:  # a letter whose lower case is two
-        low = "".join(c.lower() if len(c.lower()) == 1 else c for c in value)
+    n, low = len(value), lowered(value)
     best = [0.0] * (n + 1)
     by_force = float("inf")  # the cheapest way whose last span is brute force
     equal = [0] * (LONGEST_UNIT + 1)  # so many characters back are each equal to the one a unit before
