@@ -55,9 +55,10 @@ with recursive doc as (
     union
     select reach.doc_id, both_ways.b from reach join both_ways on both_ways.a = reach.other
 )
-select doc_id, coalesce(n, 0)::bigint as n_shingles, component_id
+select doc_id, coalesce(n, 0)::bigint as n_shingles, component_id, coalesce(links, 0)::bigint as n_links
 from doc left join sized using (doc_id)
 join (select doc_id, min(other) as component_id from reach group by doc_id) using (doc_id)
+left join (select a as doc_id, count(*) as links from both_ways group by a) using (doc_id)
 """
 
 SQL["op1_warc_chunks"] = r"""

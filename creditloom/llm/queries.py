@@ -67,7 +67,7 @@ def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op4_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jaccard.join(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
+    return jaccard.join(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id", "n_links")
 
 
 @query
