@@ -5,7 +5,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from creditloom.plans.training import SCORE, score
-from creditloom.sources.tables import at_snapshot, between_snapshots, write_snapshots
+from creditloom.sources.tables import at_snapshot, read_table, write_snapshots
 
 
 def predictions(model: PipelineModel, features: DataFrame, model_name: str) -> DataFrame:
@@ -25,11 +25,5 @@ def write_predictions(scores: DataFrame, path: str) -> int:
     """Replace the scores of the (model, snapshot) pairs present, and count what was read back."""
     write_snapshots(scores, path, ("model_name", "snapshot_date"))
     pairs = scores.select("model_name", "snapshot_date").distinct()
-    written = scores.sparkSession.read.parquet(path)
+    written = read_table(scores.sparkSession, path)
     return written.join(pairs, ["model_name", "snapshot_date"], "left_semi").count()
-
-
-def backfill(model: PipelineModel, features: DataFrame, start: str, end: str, model_name: str, path: str) -> None:
-    """Score every snapshot of a range in one job."""
-    chosen = between_snapshots(features, start, end)
-    write_snapshots(predictions(model, chosen, model_name), path, ("model_name", "snapshot_date"))

@@ -4,7 +4,10 @@ A stage handles one snapshot, a range of months, or everything in one job per ta
 loop over months.  Snapshots written again replace themselves and leave the others alone.
 """
 
+import hashlib
 from dataclasses import dataclass
+from datetime import date
+from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -47,9 +50,22 @@ class Layout:
     def runs(self) -> str:
         return f"{self.root}/gold/model_runs"
 
+    def snapshot_tables(self) -> list[tuple[str, tuple[str, ...]]]:
+        """The tables that can keep versions, with their partition columns."""
+        day = (tables.PARTITION,)
+        stores = [*map(self.silver, TABLE_TYPES), self.labels, self.features, self.labelled_features]
+        return [(path, day) for path in stores] + [(self.predictions, ("model_name", *day))]
+
     def monitoring(self, model: str, snapshot: str) -> str:
         return f"{self.root}/gold/model_monitoring/{model}/{snapshot}"
 
+    @property
+    def digests(self) -> str:
+        return f"{self.root}/input_digests"
+
+    def search(self, name: str) -> str:
+        return f"{self.root}/models/_search/{name}"
+
     def model(self, version: str) -> str:
         return f"{self.root}/models/{version}"
 
@@ -60,6 +76,8 @@ class Span:
 
     start: str | None = None
     end: str | None = None
+    #: Of those, only these; all where None.
+    months: tuple[str, ...] | None = None
 
     @staticmethod
     def of(snapshot: str) -> "Span":
@@ -74,6 +92,8 @@ class Span:
             df = df.where(day >= F.lit(self.start).cast("date"))
         if self.end:
             df = df.where(day <= F.lit(self.end).cast("date"))
+        if self.months is not None:
+            df = df.where(day.isin([date.fromisoformat(m) for m in self.months]))
         return df
 
 
@@ -91,6 +111,8 @@ def optional(read) -> DataFrame | None:
         if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
             return None
         raise
+    except FileNotFoundError:  # a versioned table without a commit
+        return None
 
 
 def ingest(sources: dict[str, DataFrame], layout: Layout, span: Span = Span()) -> None:
@@ -154,13 +176,52 @@ def build_labelled_gold(
     return True
 
 
+def input_digests(sources: dict[str, DataFrame], rules: str) -> DataFrame:
+    """(snapshot_date, table_name, rules, n_rows, digest): what each month's input of each table is.
+
+    A sum over hashes of rows: one aggregate a table, whatever the order of rows and files.
+    """
+    parts = []
+    for name, df in sources.items():
+        row = F.xxhash64(F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns])))
+        sums = df.groupBy(tables.PARTITION).agg(F.count("*").alias("n_rows"), F.sum(row.cast("decimal(20,0)")).cast("string").alias("digest"))
+        parts.append(sums.select(tables.PARTITION, F.lit(name).alias("table_name"), F.lit(rules).alias("rules"), "n_rows", "digest"))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def changed_months(spark: SparkSession, now: DataFrame, layout: Layout) -> list[str]:
+    """Months whose digests are not those that the last backfill stored."""
+    stored = optional(lambda: tables.read_table(spark, layout.digests))
+    columns = [tables.PARTITION, "table_name", "rules", "n_rows", "digest"]
+    new = now if stored is None else now.select(columns).exceptAll(stored.select(columns))
+    return sorted(str(r[0]) for r in new.select(tables.PARTITION).distinct().collect())
+
+
+def rule_text(rules: dict, rule: labels.LabelRule) -> str:
+    """A name for the rules that a month was made with."""
+    return hashlib.sha256(repr((sorted((k, getattr(f, "__qualname__", repr(f))) for k, f in rules.items()), rule)).encode()).hexdigest()[:16]
+
+
 def backfill(
     spark: SparkSession, sources: dict[str, DataFrame], layout: Layout, start: str, end: str,
-    rules: dict = silver.STRIP_FIRST, rule: labels.LabelRule = labels.PAYMENT_RULE,
-) -> bool:
-    """All three stages for every month of a range, one job per table."""
+    rules: dict = silver.STRIP_FIRST, rule: labels.LabelRule = labels.PAYMENT_RULE, force: bool = True,
+) -> list[str]:
+    """All three stages for the months of a range, one job per table; the months that were made.
+
+    Unless ``force``, only months whose input, or whose rules, are not those of the last backfill.
+    Digests are stored last, so what was cut off is made again.
+    """
     spine_rows = {name: months(spark, df, start, end) for name, df in sources.items()}
-    span = Span(start, end)
-    ingest(spine_rows, layout)
+    digests = tables.materialise(input_digests(spine_rows, rule_text(rules, rule)), "digests")
+    if force:
+        wanted = sorted(str(r[0]) for r in digests.select(tables.PARTITION).distinct().collect())
+    else:
+        wanted = changed_months(spark, digests, layout)
+    if not wanted:
+        return []
+    span = Span(start, end, tuple(wanted))
+    ingest(spine_rows, layout, span)
     refine(spark, layout, rules, span)
-    return build_gold(spark, layout, rule, span)
+    build_gold(spark, layout, rule, span)
+    tables.write_snapshots(span.apply(digests), layout.digests)
+    return wanted

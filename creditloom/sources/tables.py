@@ -2,7 +2,8 @@
 
 One Parquet dataset per table, partitioned by snapshot.  Writing a snapshot replaces only the
 partitions it holds (dynamic overwrite), so a rerun after a lost job is safe.  Executors write; no
-rows pass through the driver.
+rows pass through the driver.  A table with a commit log (``versions``) is read and written through
+it, so that readers never see half a write.
 """
 
 import re
@@ -44,6 +45,42 @@ def materialise(df: DataFrame, purpose: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def filesystem(spark: SparkSession, path: str):
+    """The file system of ``path`` and the path in it."""
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), place
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    files, place = filesystem(spark, path)
+    return files.exists(place)
+
+
+def discard(spark: SparkSession, path: str) -> None:
+    """Remove a folder that this run wrote, if it is there."""
+    files, place = filesystem(spark, path)
+    files.delete(place, True)
+
+
+class Kept:
+    """One stored frame at a time: writing the next removes the copy before."""
+
+    def __init__(self, spark: SparkSession, purpose: str):
+        self.spark, self.purpose, self.path = spark, purpose, None
+
+    def replace(self, df: DataFrame) -> DataFrame:
+        path = shared_dir(self.spark, self.purpose)
+        df.write.parquet(path)
+        self.drop()
+        self.path = path
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def drop(self) -> None:
+        if self.path:
+            discard(self.spark, self.path)
+        self.path = None
+
+
 def _gathered(df: DataFrame, partition_by=(PARTITION,)) -> DataFrame:
     """Rows of a snapshot brought together before a partitioned write.
 
@@ -55,6 +92,10 @@ def _gathered(df: DataFrame, partition_by=(PARTITION,)) -> DataFrame:
 
 def write_snapshots(df: DataFrame, path: str, partition_by=(PARTITION,)) -> None:
     """Replace the partitions present in ``df``; other snapshots stay."""
+    from creditloom.sources import versions
+
+    if versions.is_versioned(df.sparkSession, path):
+        return versions.VersionedTable(df.sparkSession, path, partition_by).write(df)
     (
         _gathered(df, partition_by).write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
@@ -65,6 +106,10 @@ def write_snapshots(df: DataFrame, path: str, partition_by=(PARTITION,)) -> None
 
 def write_table(df: DataFrame, path: str) -> None:
     """Replace the whole table, still partitioned by snapshot."""
+    from creditloom.sources import versions
+
+    if versions.is_versioned(df.sparkSession, path):
+        return versions.VersionedTable(df.sparkSession, path).write(df, whole=True)
     (
         _gathered(df).write.mode("overwrite")
         .option("partitionOverwriteMode", "static")
@@ -75,6 +120,10 @@ def write_table(df: DataFrame, path: str) -> None:
 
 def read_table(spark: SparkSession, path: str, snapshot: str | None = None) -> DataFrame:
     """A whole table, or one snapshot of it by partition pruning."""
+    from creditloom.sources import versions
+
+    if versions.is_versioned(spark, path):
+        return versions.VersionedTable(spark, path).read(**({PARTITION: snapshot} if snapshot else {}))
     return at_snapshot(spark.read.parquet(path), snapshot) if snapshot else spark.read.parquet(path)
 
 
@@ -126,9 +175,14 @@ def read_source_csv(spark: SparkSession, path: str, table: str, multi_line: bool
     """A source extract as text: columns are found by their header names, in any order, and a
     declared column the extract lacks is NULL.
 
-    ``multi_line`` is for extracts whose values hold line breaks; such a file cannot be split.
+    ``multi_line`` is for extracts whose values hold line breaks; they are split by records.
     """
-    found = spark.read.options(**CSV_TEXT, multiLine=multi_line).csv(path)
+    if multi_line:
+        from creditloom.sources import csv_blocks
+
+        found = csv_blocks.read(spark, path, list(TABLE_TYPES[table]))
+    else:
+        found = spark.read.options(**CSV_TEXT).csv(path)
     present = set(found.columns)
     text = {c: F.col(c) if c in present else F.lit(None).cast("string") for c in TABLE_TYPES[table]}
     return found.select(*[(v.try_cast("date") if c == PARTITION else v).alias(c) for c, v in text.items()])
