@@ -443,6 +443,21 @@ where loan_start_date < date '1998-01-01' group by mob"""
 BODIES["installment_bads"] = """select loan_id, Customer_ID, snapshot_date, installment_num, dpd, cast(dpd >= 30 as int) as dpd_flag
 from loan_payment where installment_num = 7 and loan_start_date < date '1998-01-01'"""
 
+_LEDGER = {
+    "loan_id": None, "Customer_ID": None, "loan_start_date": "epoch", "tenure": "", "installment_num": "", "loan_amt": "", "due_amt": "",
+    "paid_amt": "", "overdue_amt": "", "balance": "", "snapshot_date": "epoch", "mob": "", "monthly_payment": "", "dpd": "",
+}
+
+
+def _extreme(which: str, column: str, kind: str | None) -> str:
+    if kind is None:
+        return "null::double"
+    return r(f"{which}({column})::double" if not kind else f"date_diff('day', date '1970-01-01', {which}({column}))::double", 6)
+
+
+BODIES["stored_profile"] = "\nunion all\n".join(
+    f"""select '{c}' as column_name, count(*) as n_rows, count(*) - count({c}) as n_nulls, {_extreme("min", c, k)} as least,
+  {_extreme("max", c, k)} as greatest from loan_payment""" for c, k in _LEDGER.items())
 BODIES["training_set"] = f"""select Customer_ID, snapshot_date, loan_id, label, label_definition, label_snapshot_date, mob, dpd,
   feature_snapshot_date, {FEATURES_OUT} from labels_v2 join feats using (Customer_ID, snapshot_date)"""
 BODIES["snapshot_range_filter"] = BODIES["full_overwrite"]
@@ -477,10 +492,63 @@ BODIES["prediction_summary"] = summary("base", "base_scores") + "\nunion all\n"
 BODIES["decile_diff"] = f"""select cast(i as int) as decile, {r("b[i + 1]", 6)} as base, {r("c[i + 1]", 6)} as current,
   {r("c[i + 1] - b[i + 1]", 6)} as diff from deciles, range(11) t(i)"""
 BODIES["psi"] = f"select {r('psi', 6)} as psi from psi_value"
-BODIES["ks_statistic"] = f"""select {r("d", 6)} as ks_stat, cast(n as bigint) as n_base, cast(m as bigint) as n_current,
+BODIES["ks_limit"] = f"""select {r("d", 6)} as ks_stat, cast(n as bigint) as n_base, cast(m as bigint) as n_current,
   {r("case when w < 0.2 then 1.0 else greatest(0.0, least(1.0, p)) end", 6)} as ks_pvalue
 from (select d, n, m, any_value(w) as w, sum(case when k % 2 = 1 then 2 else -2 end * exp(-2 * k * k * w * w)) as p
   from (select *, d * sqrt(n * m / (n + m)) as w from ks_value), range(1, 101) t(k) group by d, n, m)"""
+# Exact: probability moves along the lattice paths row by row (``mass``, by rows of the base so far), and what is far
+# off at the end of a tie is taken out and added up.  For each group of ``sides`` (g, s, is_b).
+
+
+def lattice(sides: str) -> str:
+    return f"""with recursive pooled as (
+    select g, s, is_b, row_number() over (partition by g, s) = count(*) over (partition by g, s) as last from ({sides})
+  ), ordered as (select g, s, is_b, last, row_number() over (partition by g order by s, last) as k from pooled
+  ), running as (
+    select g, last, k, sum(is_b) over w as i, k - sum(is_b) over w as j,
+      sum(is_b) over (partition by g) as n, count(*) over (partition by g) - sum(is_b) over (partition by g) as m
+    from ordered window w as (partition by g order by k)
+  ), far as (
+    select g, any_value(n)::bigint as n, any_value(m)::bigint as m, max(abs(i * m - j * n)) filter (last) as far from running group by g
+  ), path as (
+    select g, 0::bigint as k, list_transform(range(0, n + 1), lambda i: if(i = 0, 1.0::double, 0.0::double)) as mass, 0.0::double as p from far
+    union all
+    select g, k, if(last, list_transform(moved, lambda x, i: if(abs((i - 1) * m - (k - i + 1) * n) >= far, 0.0::double, x)), moved),
+      p + if(last, coalesce(list_sum(list_transform(moved, lambda x, i: if(abs((i - 1) * m - (k - i + 1) * n) >= far, x, 0.0::double))), 0), 0)
+    from (
+      select g, path.k + 1 as k, p, last, n, m, far, list_transform(mass, lambda x, i:
+          x * greatest(m - (path.k - i + 1), 0) / (n + m - path.k)
+          + if(i > 1, mass[i - 1] * (n - i + 2) / (n + m - path.k), 0)) as moved
+      from path join (select g, k, last from ordered) o using (g) join far using (g) where o.k = path.k + 1)
+  )
+  select g, p, far / (n * m) as d from path join far using (g) where k = n + m"""
+
+
+BODIES["ks_statistic"] = f"""select {r("ks_value.d", 6)} as ks_stat, cast(n as bigint) as n_base, cast(m as bigint) as n_current,
+  {r("least(1.0, p)", 6)} as ks_pvalue
+from ks_value, ({lattice("select 1 as g, s, 1 as is_b from base_scores union all select 1, s, 0 from current_scores")})"""
+
+
+def index_sql(sides: str) -> str:
+    """The stability index of each group of ``sides`` (g, s, is_b)."""
+    return f"""select g, sum((b - c) * ln(b / c)) as psi from (
+      select g, case when b = 0 then 1e-8 else b / (sum(b) over (partition by g) + 1e-8) end as b,
+        case when c = 0 then 1e-8 else c / (sum(c) over (partition by g) + 1e-8) end as c
+      from (select g, least(len(list_filter(e, lambda x: x <= s)), greatest(len(e) - 1, 1)) as bin, sum(is_b) as b, sum(1 - is_b) as c
+        from ({sides}) join (select g, list_sort(list_distinct(quantile_cont(s, [{_PROBS}]))) as e from ({sides}) where is_b = 1 group by g) using (g)
+        where s between e[1] and e[len(e)] group by g, bin)) group by g"""
+
+
+_MONTHS = """select m.snapshot_date as g, b.s, 1 as is_b from base_scores b, (select distinct snapshot_date from predictions) m
+  union all select snapshot_date, model_predictions, 0 from predictions"""
+_DECILES_BY = listed(f"{r(f'quantile_cont(s, {i / 10})', 6)} as p{i * 10}" for i in range(11))
+BODIES["drift_by_month"] = f"""select 'credit_model_1998_12_01.pkl' as model_name, g as snapshot_date, w.* exclude (g), {r("psi", 6)} as psi,
+  case when psi >= 0.3 then 'critical' when psi >= 0.2 then 'warning' else 'ok' end as alert,
+  {r("d", 6)} as ks_stat, {r("least(1.0, p)", 6)} as ks_pvalue
+from (select snapshot_date as g, count(*) as count, {r("avg(s)", 6)} as mean, {r("stddev_pop(s)", 6)} as std, {r("min(s)", 6)} as min,
+    {r("max(s)", 6)} as max, {r("median(s)", 6)} as median, {_DECILES_BY}
+  from (select snapshot_date, model_predictions as s from predictions) group by 1) w
+join ({index_sql(_MONTHS)}) using (g) join ({lattice(_MONTHS)}) using (g)"""
 BODIES["drift_alert"] = f"""select {r("psi", 6)} as psi,
   case when psi >= 0.3 then 'critical' when psi >= 0.2 then 'warning' else 'ok' end as alert,
   cast(case when psi >= 0.3 then 2 when psi >= 0.2 then 1 else 0 end as int) as exit_code from psi_value"""
@@ -501,6 +569,15 @@ from ({auc("scored_now")}), (
     count(*) filter (score < 0.5 and label = 1) as fn, count(*) filter (score >= 0.5 and label = 1) as tp from scored_now), (
   select count(*) as unlabelled from predictions p where snapshot_date = date '1998-12-01' and not exists (
     select 1 from labels_v2 l where l.Customer_ID = p.Customer_ID and l.snapshot_date = p.snapshot_date))"""
+_REPORTED = ("count", "mean", "std", "min", "max", "median")
+BODIES["monitor_values"] = f"""select 'credit_model_1998_12_01.pkl' as model_label, '1998-12-01' as snapshotdate, '1998-06-01' as baseline_date,
+  {listed(f"b.{c} as baseline_{c}" for c in _REPORTED)}, {listed(f"c.{c} as current_{c}" for c in _REPORTED)},
+  {listed(f"c.p{i * 10} as current_p{i * 10}" for i in range(11))},
+  (select {r("sum(abs(c[i + 1] - b[i + 1]))", 6)} from deciles, range(11) t(i)) as decile_shift,
+  k.ks_stat, k.ks_pvalue, a.psi, a.alert, a.exit_code,
+  l.roc_auc, l.precision, l.recall, l.f1, l.unlabelled::double as unlabelled, l.unscored::double as unscored, null::varchar as label_note
+from ({summary("base", "base_scores")}) b, ({summary("current", "current_scores")}) c, ({BODIES["ks_statistic"]}) k,
+  ({BODIES["drift_alert"]}) a, ({BODIES["label_metrics"]}) l"""
 BODIES["retrain_needed"] = """select max(snapshot_date) as latest_run, date '1998-12-15' as cutoff,
   max(snapshot_date) < date '1998-12-15' as retrain from predictions"""
 
@@ -516,11 +593,74 @@ BODIES["class_weights"] = f"""select label, n_rows, {r("sum(n_rows) over () / (c
      else 1 end''', 6)} as positive_weight
 from (select label, count(*) as n_rows from labels_v2 group by 1)"""
 
-# Of models, what is exact: rows per class and split, keys, and that shares are shares.
-_JUDGED = """select split, count(*) filter (label = 0) as negatives, count(*) filter (label = 1) as positives,
-  cast(0 as bigint) as unscored, true as rates_in_range"""
-for _name in ("train_random_forest", "train_random_forest_scaled", "train_gbt", "train_logistic"):
+_NUMBERS = [
+    "Delay_from_due_date", "Outstanding_Debt", "Amount_invested_monthly", "Interest_Rate", "Num_Bank_Accounts",
+    "Num_Credit_Card", "Loan_amt_sum", "Loan_amt_mean", "Loan_amt_std", "Loan_tenure_mean", "Loan_tenure_max",
+    "Loan_overdue_amt_sum", "Loan_overdue_amt_mean", "Loan_overdue_amt_max", "Loan_balance_sum", "Loan_balance_mean",
+    "dpd_mean", "dpd_max", "loan_count", "clickstream_total_events", "clickstream_fe_5_mean", "clickstream_fe_5_sum",
+    "clickstream_fe_5_std", "clickstream_fe_9_mean", "clickstream_fe_9_min", "clickstream_fe_4_mean", "clickstream_fe_4_min",
+    "clickstream_fe_10_mean", "clickstream_fe_10_min",
+]
+_NUMBERS = ["Age", *_NUMBERS]
+CTES["train_numbers"] = f"""select label, case when label = 1 then w else 1 end as w, v.i, v.name, v.x from (
+  select label, count(*) filter (label = 0) over () / count(*) filter (label = 1) over () as w,
+    unnest([{listed(f"{{'i': {k}, 'name': '{c}', 'x': coalesce({c}, 0)::double}}" for k, c in enumerate(_NUMBERS))}]) as v
+  from tuned where split = 'train')"""
+_FLAGS = [
+    "Home_Loan", "Personal_Loan", "Student_Loan", "Auto_Loan", "Business_Loan", "Credit-Builder_Loan", "Home_Equity_Loan",
+    "Debt_Consolidation_Loan", "Mortgage_Loan", "Not_Specified", "Payday_Loan",
+]
+_GROUPS = ["Occupation", *[f'"Loan_Type_{f}"' for f in _FLAGS]]
+# The values that a category has in training but the first, in falling order; none for a category of one value.
+CTES["known"] = f"""select {listed(f"list_reverse_sort(list(distinct {c}::varchar)) as k{i}" for i, c in enumerate(_GROUPS))}
+from tuned where split = 'train'"""
+
+
+def vectors(number) -> str:
+    hot = [f"list_transform(k{i}[1:len(k{i}) - 1], lambda v: (v = {c}::varchar)::int::double)" for i, c in enumerate(_GROUPS)]
+    return f"""select loan_id, Customer_ID, snapshot_date, mob, dpd, split, unnest(range(0, len(f)))::int as i, round(unnest(f) + 1e-9, 5) as value
+    from (select *, flatten([[{listed(number(c, k) for k, c in enumerate(_NUMBERS))}], {listed(hot)}]) as f from tuned, known{{}})"""
+
+
+BODIES["tree_inputs"] = vectors(lambda c, k: f"coalesce({c}, 0)::double").format("")
+CTES["number_stats"] = f"""select {listed(f'avg(coalesce({c}, 0)) as "a{i}", stddev_pop(coalesce({c}, 0)) as "b{i}"' for i, c in enumerate(_NUMBERS))}
+from tuned where split = 'train'"""
+BODIES["linear_inputs"] = vectors(lambda c, k: f"(coalesce({c}, 0) - a{k}) / case when b{k} = 0 then 1 else b{k} end").format(", number_stats")
+BODIES["boosted_inputs"] = f"""select loan_id, Customer_ID, snapshot_date, mob, dpd, split, v.name as input, {r("v.x", 5)} as value
+from (select *, unnest(flatten([[{listed(f"{{'name': '{c}', 'x': coalesce({c}, 0)::double}}" for c in _NUMBERS)}],
+  {listed(f"list_transform(k{i}[1:len(k{i}) - 1], lambda v: {{'name': '{c.strip(chr(34))}_' || v, 'x': (v = {c}::varchar)::int::double}})" for i, c in enumerate(_GROUPS))}])) as v
+  from tuned, known)"""
+_CUTS = ", ".join(f"{k / 32}" for k in range(1, 32))
+CTES["cut_points"] = f"""select i, list_filter(list_sort(list_distinct(q)), lambda c: c > m) as cuts from (
+  select i, quantile_disc(x, [{_CUTS}]) as q, min(x) as m from train_numbers group by i)"""
+CTES["root_sums"] = """select i, name, len(list_filter(cuts, lambda c: c <= x)) as bin, count(*) as n,
+  sum(w * (0.5 - label)) as g, sum(w * 0.25) as h from train_numbers join cut_points using (i) group by 1, 2, 3"""
+BODIES["boosting_histogram"] = f"""select name as input, bin::int as bin, n, {r("g", 6)} as g, {r("h", 6)} as h from root_sums"""
+BODIES["boosting_root_splits"] = f"""select * from (with setting(model, alpha, ridge, least, gamma) as (
+  values (0, 0.0, 1.0, 1.0, 0.0), (1, 20.0, 0.5, 1.0, 0.0), (2, 0.0, 1.0, 200.0, 0.1), (3, 0.0, 1.0, 1.0, 1e9)
+), cut as (
+  select i, name, bin, sum(g) over before as gl, sum(h) over before as hl, sum(g) over (partition by i) as ga, sum(h) over (partition by i) as ha
+  from root_sums window before as (partition by i order by bin rows between unbounded preceding and 1 preceding)
+), scored as (
+  select *, power(greatest(abs(gl) - alpha, 0), 2) / (hl + ridge) + power(greatest(abs(ga - gl) - alpha, 0), 2) / (ha - hl + ridge)
+    - power(greatest(abs(ga) - alpha, 0), 2) / (ha + ridge) as gain
+  from cut, setting where gl is not null and least(hl, ha - hl) >= setting.least
+)
+select model, name as input, {r("cuts[bin]")} as cut, {r("gain")} as gain, {r("gl")} as g_left, {r("hl")} as h_left,
+  {r("ga - gl")} as g_right, {r("ha - hl")} as h_right
+from (select *, row_number() over (partition by model order by round(gain, 6) desc, i, bin) as k from scored
+  where gain > 0 and gain >= gamma) join cut_points using (i) where k = 1)"""
+
+# Of models, what is exact: rows per class and split, keys, and that shares are shares; and on the train rows the best
+# single input's ROC-AUC, which the model must reach.
+CTES["best_input"] = f"""select max(greatest(auc, 1 - auc)) as best from ({auc("(select name, label, x as score from train_numbers)", "name")})"""
+_JUDGED = f"""select split, count(*) filter (label = 0) as negatives, count(*) filter (label = 1) as positives,
+  cast(0 as bigint) as unscored, true as rates_in_range,
+  case when split = 'train' then (select round(best, 6) from best_input) end as best_input_auc,
+  case when split = 'train' then true end as beats_inputs"""
+for _name in ("train_random_forest", "train_random_forest_scaled", "train_gbt", "train_boosted"):
     BODIES[_name] = f"{_JUDGED} from tuned group by split"
+BODIES["train_logistic"] = f"""{_JUDGED}, case when split = 'train' then true end as stationary from tuned group by split"""
 BODIES["random_search"] = f"""{_JUDGED}, true as cv_in_range,
   'bootstrap, featureSubsetStrategy, maxDepth, minInstancesPerNode, numTrees' as searched from tuned group by split"""
 BODIES["score_snapshot"] = """select Customer_ID, snapshot_date, 'credit_model_1998_12_01.pkl' as model_name, true as in_range

@@ -9,11 +9,11 @@ from pyspark.sql import functions as F
 
 from creditloom.catalog.lake import Lake, settle
 from creditloom.operators import (
-    distribution, drift, features, labels, metrics, modelling, profile, silver, splits,
+    boosting, distribution, drift, features, labels, metrics, modelling, profile, silver, splits,
 )
 from creditloom.operators.joins import many_to_one
 from creditloom.plans import monitoring, scoring, training
-from creditloom.sources import calendar, tables
+from creditloom.sources import calendar, footers, tables
 from creditloom.sources.raw import SCORE_MODEL
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -130,6 +130,14 @@ def table_profile(lake: Lake) -> DataFrame:
     return profile.table_profile(lake.strip_first)
 
 
+@query
+def stored_profile(lake: Lake) -> DataFrame:
+    """Counts, NULLs and extremes of the stored ledger, from footers."""
+    path = tables.shared_dir(lake.spark, "silver-loan")
+    tables.write_snapshots(lake.strip_first["loan_daily"], path)
+    return settle(footers.stored_profile(lake.spark, path), 6)
+
+
 @query
 def table_head(lake: Lake) -> DataFrame:
     order = ["snapshot_date", "Customer_ID", "loan_id", "mob", "dpd"]
@@ -442,6 +450,12 @@ def ks_statistic(lake: Lake) -> DataFrame:
     return settle(drift.ks(drift.paired_totals(*score_pair(lake))), 6)
 
 
+@query
+def ks_limit(lake: Lake) -> DataFrame:
+    """The same with the limit's p-value, as for samples too large for the exact one."""
+    return settle(drift.ks(drift.paired_totals(*score_pair(lake)), exact_rows=0), 6)
+
+
 @query
 def drift_alert(lake: Lake) -> DataFrame:
     return settle(drift.alert(drift.psi(drift.paired_totals(*score_pair(lake)))), 6)
@@ -515,11 +529,12 @@ def class_weights(lake: Lake) -> DataFrame:
 
 # -- models -----------------------------------------------------------------------------------
 #
-# Single fits: 100 rounds of boosting, forests of 100 trees, 10 deep (values inside FOREST_SPACE).  Searches go over the whole space;
+# Single fits: 100 rounds of boosting, forests of 100 trees, 10 deep (values inside the search spaces).  Searches go over the whole space;
 # their effort is that of a smoke run (2 draws, 2 folds), where ``training.Search`` has 10 and 5.
 
 FOREST = {"numTrees": 100, "maxDepth": 10}
 BOOSTING = {"maxIter": 100}
+BOOSTED = {"n_estimators": 25, "max_depth": 3, "reg_alpha": 0.5}  # the fewest trees and the depth of MONTHLY_SPACE
 SMOKE_SEARCH = training.Search(n_iter=2, folds=2)
 
 
@@ -529,18 +544,39 @@ def assembled(lake: Lake, inputs: training.Inputs) -> DataFrame:
     return prepared.transform(data).select(*ROW_KEY, "split", "label", vector_to_array("features").alias("features"))
 
 
-def quality(trained: training.Trained) -> DataFrame:
-    """What is exact of a model's metrics: rows per class and split, all of them scored, every rate a share."""
+def best_input(rows: DataFrame) -> DataFrame:
+    """One number: the ROC-AUC of the number that alone ranks the train rows best, up or down."""
+    train = rows.where(F.col("split") == "train")
+    filled = modelling.fill_missing(train, modelling.TUNED_NUMERICS)
+    each = F.array(*[F.struct(F.lit(c).alias("input"), modelling.named(c).alias("x")) for c in modelling.TUNED_NUMERICS])
+    long = filled.select("label", F.explode(each).alias("v")).select("label", "v.*")
+    found = distribution.roc_auc(long, "x", "label", by=("input",))
+    return found.agg(F.max(F.greatest("roc_auc", 1 - F.col("roc_auc"))).alias("best"))
+
+
+def quality(trained: training.Trained, rows: DataFrame) -> DataFrame:
+    """Rows per class and split, all of them scored, every rate a share; and on the train rows, on which
+    a model that learned nothing has a ROC-AUC of a half: the best single input's, and whether the
+    model's is at least that.
+    """
     rates = [F.col(c).between(0, 1) for c in ("accuracy", "recall", "precision", "f1", "balanced_accuracy", "roc_auc")]
+    fitted_on, best = F.col("split") == "train", best_input(rows).scalar()
     return trained.metrics.select(
         "split",
         (F.col("true_negatives") + F.col("false_positives")).alias("negatives"),
         (F.col("false_negatives") + F.col("true_positives")).alias("positives"),
         "unscored",
         reduce(lambda x, y: x & y, rates).alias("rates_in_range"),
+        F.when(fitted_on, F.round(best, 6)).alias("best_input_auc"),
+        F.when(fitted_on, F.col("roc_auc") >= best).alias("beats_inputs"),
     )
 
 
+def tuned_model(lake: Lake, recipe: training.Recipe, params: dict | None = None, search=None) -> tuple[training.Trained, DataFrame]:
+    rows = tables.materialise(tuned_data(lake), "tuned-rows")
+    return training.train(rows, recipe, ROW_KEY, params, search), rows
+
+
 def monthly_model(lake: Lake) -> training.Trained:
     data = modelling.training_set(monthly_splits(lake), lake.features)
     return training.train(data, training.MONTHLY, ROW_KEY, search=SMOKE_SEARCH)
@@ -556,31 +592,112 @@ def linear_features(lake: Lake) -> DataFrame:
     return assembled(lake, training.LINEAR_INPUTS)
 
 
+def input_values(lake: Lake, inputs: training.Inputs) -> DataFrame:
+    """The assembled vectors entry by entry."""
+    values = F.posexplode("features").alias("i", "value")
+    return settle(assembled(lake, inputs).select(*ROW_KEY, "split", values), 5)
+
+
+@query
+def tree_inputs(lake: Lake) -> DataFrame:
+    return input_values(lake, training.TREE_INPUTS)
+
+
+@query
+def linear_inputs(lake: Lake) -> DataFrame:
+    return input_values(lake, training.LINEAR_INPUTS)
+
+
+@query
+def boosted_inputs(lake: Lake) -> DataFrame:
+    """The inputs of second-order boosting, by name."""
+    data = tables.materialise(tuned_data(lake), "tuned-rows")
+    prepared, names = training.tree_preprocessing(data.where(F.col("split") == "train"), training.TREE_INPUTS)
+    values = F.posexplode(F.col(training.MODEL_INPUTS)).alias("i", "value")
+    found = prepared.transform(data).select(*ROW_KEY, "split", values)
+    return settle(found.select(*ROW_KEY, "split", F.array(*map(F.lit, names))[F.col("i")].alias("input"), "value"), 5)
+
+
 @query
 def train_random_forest(lake: Lake) -> DataFrame:
-    return quality(training.train(tuned_data(lake), training.RANDOM_FOREST, ROW_KEY, FOREST))
+    return quality(*tuned_model(lake, training.RANDOM_FOREST, FOREST))
 
 
 @query
 def train_random_forest_scaled(lake: Lake) -> DataFrame:
-    return quality(training.train(tuned_data(lake), training.RANDOM_FOREST_SCALED, ROW_KEY, FOREST))
+    return quality(*tuned_model(lake, training.RANDOM_FOREST_SCALED, FOREST))
 
 
 @query
 def train_gbt(lake: Lake) -> DataFrame:
-    return quality(training.train(tuned_data(lake), training.GRADIENT_BOOSTING, ROW_KEY, BOOSTING))
+    return quality(*tuned_model(lake, training.GRADIENT_BOOSTING, BOOSTING))
 
 
 @query
 def train_logistic(lake: Lake) -> DataFrame:
-    return quality(training.train(tuned_data(lake), training.LOGISTIC, ROW_KEY))
+    """Also whether the fit is one: the weighted errors, times each input, add up to nothing."""
+    trained, rows = tuned_model(lake, training.LOGISTIC)
+    train = rows.where(F.col("split") == "train")
+    weights = modelling.class_weights(train)
+    scored = training.weighted(trained.model.transform(train), weights, training.LOGISTIC.weight)
+    error = F.col("weight") * (training.probability(scored) - F.col("label"))
+    inputs = F.posexplode(vector_to_array("features")).alias("i", "x")
+    sums = scored.select(error.alias("error"), "weight", inputs).groupBy("i").agg(F.abs(F.sum(F.col("error") * F.col("x")) / F.sum("weight")).alias("g"))
+    largest = sums.agg(F.max("g")).scalar()
+    return quality(trained, rows).withColumn("stationary", F.when(F.col("split") == "train", largest < 1e-3))
+
+
+@query
+def train_boosted(lake: Lake) -> DataFrame:
+    return quality(*tuned_model(lake, training.BOOSTED, BOOSTED))
+
+
+def boosting_bins(lake: Lake) -> tuple[DataFrame, list[str], list[list[float]]]:
+    """Weighted train rows with their bins, and the inputs' names and cut points."""
+    inputs = training.Inputs(modelling.TUNED_NUMERICS)
+    data = tables.materialise(tuned_data(lake).where(F.col("split") == "train"), "tuned-rows")
+    prepared, names = training.tree_preprocessing(data, inputs)
+    rows = training.weighted(prepared.transform(data), modelling.class_weights(data), "positive_weight")
+    cuts = boosting.cut_points(rows, training.MODEL_INPUTS)
+    return rows.select("label", "weight", boosting.binned(cuts, training.MODEL_INPUTS).alias("bins")), names, cuts
+
+
+def first_sums(rows: DataFrame, models: int) -> DataFrame:
+    """Sums of the first round's root, the same for every model."""
+    g, h = boosting.gradients(F.lit(0.0))
+    return boosting.histograms(rows, F.array(*[
+        F.struct(F.lit(k).alias("model"), F.lit(0).alias("node"), g.alias("g"), h.alias("h")) for k in range(models)
+    ]))
+
+
+@query
+def boosting_histogram(lake: Lake) -> DataFrame:
+    rows, names, _ = boosting_bins(lake)
+    name = F.array(*map(F.lit, names))[F.col("input")]
+    return settle(first_sums(rows, 1).select(name.alias("input"), "bin", "n", "g", "h"), 6)
+
+
+ROOTS = [
+    boosting.Setting(), boosting.Setting(reg_alpha=20.0, reg_lambda=0.5), boosting.Setting(min_child_weight=200.0, gamma=0.1),
+    boosting.Setting(gamma=1e9),
+]
+
+
+@query
+def boosting_root_splits(lake: Lake) -> DataFrame:
+    """The first split under four settings, of which the last allows none."""
+    rows, names, cuts = boosting_bins(lake)
+    best = boosting.best_splits(first_sums(rows, len(ROOTS)), ROOTS)
+    name = F.array(*map(F.lit, names))[F.col("input")]
+    at = F.array(*[F.array(*map(F.lit, own or [0.0])) for own in cuts])[F.col("input")][F.col("cut") - 1]
+    return settle(best.select("model", name.alias("input"), at.alias("cut"), "gain", "g_left", "h_left", "g_right", "h_right"), 4)
 
 
 @query
 def random_search(lake: Lake) -> DataFrame:
     """Metrics of the best of the drawn settings: its parameters, and whether its cross-validated recall is a share."""
-    trained = training.train(tuned_data(lake), training.RANDOM_FOREST, ROW_KEY, search=SMOKE_SEARCH)
-    return quality(trained).withColumns(
+    trained, rows = tuned_model(lake, training.RANDOM_FOREST, search=SMOKE_SEARCH)
+    return quality(trained, rows).withColumns(
         {"cv_in_range": F.lit(0 <= trained.cv_score <= 1), "searched": F.lit(", ".join(sorted(trained.params)))}
     )
 
@@ -625,6 +742,37 @@ def model_runs(lake: Lake) -> DataFrame:
     return settle(lake.spark.read.parquet(path).select("model_type", "train_date", "split", "metric", "value"), 6)
 
 
+@query
+def monitor_values(lake: Lake) -> DataFrame:
+    """What the stored report says, read back from its JSON."""
+    base, current = score_pair(lake)
+    path = tables.shared_dir(lake.spark, "monitoring")
+    report = monitoring.report(base.unionByName(current), SCORE_MODEL, SNAPSHOT, BASELINE, lake.labels)
+    monitoring.write_report(report, path)
+    row = lake.spark.read.schema(report.schema).json(f"{path}/monitor_report")
+    summaries = [
+        F.col(f"{side}_summary.{c}").alias(f"{side}_{c}")
+        for side in ("baseline", "current") for c in ("count", "mean", "std", "min", "max", "median")
+    ]
+    deciles = [F.col("current_summary.deciles")[name].alias(f"current_{name}") for name in drift.decile_names()]
+    shifts = F.aggregate("deciles", F.lit(0.0), lambda total, d: total + F.abs(d["diff"])).alias("decile_shift")
+    truth = [F.col("label_metrics")[c].alias(c) for c in ("roc_auc", "precision", "recall", "f1", "unlabelled", "unscored")]
+    return settle(row.select(
+        "model_label", "snapshotdate", "baseline_date", *summaries, *deciles, shifts, "ks_stat", "ks_pvalue", "psi", "alert", "exit_code",
+        *truth, "label_note",
+    ), 6)
+
+
+@query
+def drift_by_month(lake: Lake) -> DataFrame:
+    """Every month of the scores against one baseline, in one plan."""
+    found = drift.by_month(lake.predictions, BASELINE)
+    deciles = [F.col("deciles")[k].alias(name) for k, name in enumerate(drift.decile_names())]
+    return settle(found.select(
+        "model_name", "snapshot_date", "count", "mean", "std", "min", "max", "median", *deciles, "psi", "alert", "ks_stat", "ks_pvalue"
+    ), 6)
+
+
 @query
 def monitor_report(lake: Lake) -> DataFrame:
     base, current = score_pair(lake)

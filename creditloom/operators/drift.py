@@ -3,6 +3,7 @@
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from creditloom.operators import kolmogorov
 from creditloom.operators.distribution import DECILES, quantiles, running_totals
 from creditloom.sources.tables import materialise
 
@@ -89,6 +90,90 @@ def summarise(df: DataFrame, value: str = SCORE, by: tuple[str, ...] = ("side",)
     return basic.join(ordered, list(by)).withColumn("median", F.col("deciles")[5])
 
 
+def summary_of(totals: DataFrame, side: str, value: str = SCORE, by: tuple[str, ...] = ()) -> DataFrame:
+    """``summarise`` for one side of running totals, which hold all it takes: no further pass over the scores."""
+    n, x = F.col(side), F.col(value)
+    mean = F.try_divide(F.sum(x * n), F.max(f"{side}_total"))
+    spread = F.try_divide(F.sum(x * x * n), F.max(f"{side}_total")) - mean * mean
+    present = F.when(n > 0, x)
+    return totals.groupBy(*by).agg(
+        F.coalesce(F.max(f"{side}_total"), F.lit(0)).alias("count"), mean.alias("mean"),
+        F.sqrt(F.greatest(spread, F.lit(0.0))).alias("std"),
+        F.min(present).alias("min"), F.max(present).alias("max"), quantiles(value, side).alias("deciles"),
+    ).withColumn("median", F.col("deciles")[5])
+
+
+MODEL_MONTH = ("model_name", "snapshot_date")
+
+
+def totals_by_month(predictions: DataFrame, baseline: str, value: str = SCORE, by: tuple[str, str] = MODEL_MONTH) -> DataFrame:
+    """Running totals of every (model, snapshot) paired with its model's scores at ``baseline``, stored.
+
+    Copies of a score collapse before the baseline's are repeated for each month, so that side is as
+    large as the months' own.
+    """
+    model, month = by
+    counted = predictions.where(F.col(value).isNotNull()).groupBy(*by, value).agg(F.count("*").alias("n"))
+    counted = materialise(counted, "score-counts")
+    base = counted.where(F.col(month) == F.lit(baseline).cast("date")).drop(month)
+    months = counted.select(*by).distinct()
+    sides = base.join(months, model).select(*by, value, F.lit("base").alias("side"), "n").unionByName(
+        counted.select(*by, value, F.lit("current").alias("side"), "n")
+    )
+    on = {s: F.when(F.col("side") == s, F.col("n")).otherwise(0) for s in ("base", "current")}
+    return materialise(running_totals(sides, value, on, by), "score-totals")
+
+
+def psi_by(totals: DataFrame, by: tuple[str, ...], value: str = SCORE, bins: int = 10) -> DataFrame:
+    """``psi`` for each group of running totals; the bins' edges, a few numbers a group, are joined to its scores."""
+    probs = [i / bins for i in range(bins + 1)]
+    edges = totals.groupBy(*by).agg(
+        F.filter(F.array_distinct(quantiles(value, "base", probs)), lambda e: e.isNotNull()).alias("edges"),
+        F.max("base_total").alias("bt"), F.max("current_total").alias("ct"),
+    )
+    x = F.col(value)
+    placed = totals.select(*by, value, "base", "current").join(edges, list(by))
+    inside = placed.where((F.size("edges") > 0) & (x >= F.element_at("edges", 1)) & (x <= F.element_at("edges", -1)))
+    reached = F.size(F.filter("edges", lambda e: x >= e))
+    bin_ = F.least(reached, F.greatest(F.size("edges") - 1, F.lit(1)))
+    binned = inside.groupBy(*by, bin_.alias("bin")).agg(F.sum("base").alias("b"), F.sum("current").alias("c"))
+    gathered = binned.groupBy(*by).agg(
+        F.collect_list(F.struct("b", "c")).alias("bins"), F.sum("b").alias("bs"), F.sum("c").alias("cs")
+    )
+    total = F.aggregate("bins", F.lit(0.0), lambda acc, r: acc + _index_term(r["b"], r["c"]))
+    found = edges.join(gathered, list(by), "left")
+    both = (F.col("bt") > 0) & (F.col("ct") > 0)
+    return found.select(*by, F.when(both, total).otherwise(F.lit(float("nan"))).alias("psi"))
+
+
+def _index_term(base: Column, current: Column) -> Column:
+    """A bin's share of the index, of its counts; ``bs`` and ``cs`` are the sums over the bins."""
+    b, c = (F.when(n == 0, F.lit(EPSILON)).otherwise(n / (F.col(s) + EPSILON)) for n, s in ((base, "bs"), (current, "cs")))
+    return (b - c) * F.ln(b / c)
+
+
+def by_month(
+    predictions: DataFrame, baseline: str, value: str = SCORE, by: tuple[str, str] = MODEL_MONTH,
+    warn: float = PSI_WARN, critical: float = PSI_CRITICAL, exact_rows: int = kolmogorov.EXACT_ROWS,
+) -> DataFrame:
+    """Drift of every (model, snapshot) against its model's ``baseline``: summary, psi, alert and KS, a row each.
+
+    Models without scores at the baseline are left out, and so are snapshots without a score.
+    """
+    totals = totals_by_month(predictions, baseline, value, by)
+    totals = totals.where((F.col("base_total") > 0) & (F.col("current_total") > 0))
+    # collected per group are at most ``exact_rows`` scores of either side
+    found = totals.groupBy(*by).agg(
+        *ks_columns(value), kolmogorov.ties_if_few(value, most=exact_rows).alias("ties"), kolmogorov.farthest(most=exact_rows).alias("far")
+    )
+    sizes = (F.col("n_base"), F.col("n_current"))
+    exact = kolmogorov.exact_pvalue(F.col("ties"), *sizes, F.col("far"))
+    distance = found.select(*by, "ks_stat", F.coalesce(exact, ks_pvalue(F.col("ks_stat"), *sizes)).alias("ks_pvalue"))
+    summary = summary_of(totals, "current", value, by)
+    index = alert(psi_by(totals, by, value), warn, critical)
+    return summary.join(index, list(by)).join(distance, list(by))
+
+
 def decile_diff(totals: DataFrame, value: str = SCORE) -> DataFrame:
     """Eleven rows: each decile of both sides and the shift."""
     both = totals.agg(quantiles(value, "base").alias("b"), quantiles(value, "current").alias("c"))
@@ -129,14 +214,7 @@ def psi(totals: DataFrame, value: str = SCORE, bins: int = 10) -> DataFrame:
         F.sum("b").alias("bs"), F.sum("c").alias("cs"), F.max("bt").alias("bt"), F.max("ct").alias("ct"),
     )
 
-    def share(count: Column, total: Column) -> Column:
-        return F.when(count == 0, F.lit(EPSILON)).otherwise(count / (total + EPSILON))
-
-    def term(row: Column) -> Column:
-        b, c = share(row["b"], F.col("bs")), share(row["c"], F.col("cs"))
-        return (b - c) * F.ln(b / c)
-
-    total = F.aggregate(F.transform("bins", term), F.lit(0.0), lambda acc, x: acc + x)
+    total = F.aggregate("bins", F.lit(0.0), lambda acc, r: acc + _index_term(r["b"], r["c"]))
     return gathered.select(
         F.when((F.col("bt") > 0) & (F.col("ct") > 0), total).otherwise(F.lit(float("nan"))).alias("psi")
     )
@@ -165,11 +243,21 @@ def ks_pvalue(stat: Column, n: Column, m: Column, terms: int = 100) -> Column:
     return F.when(reach < 0.2, F.lit(1.0)).otherwise(F.greatest(F.lit(0.0), F.least(F.lit(1.0), series)))
 
 
-def ks(totals: DataFrame, value: str = SCORE) -> DataFrame:
-    """Two-sample Kolmogorov-Smirnov statistic and asymptotic p-value."""
+def ks(totals: DataFrame, value: str = SCORE, exact_rows: int = kolmogorov.EXACT_ROWS) -> DataFrame:
+    """Two-sample Kolmogorov-Smirnov statistic and p-value.
+
+    The p-value is exact, ties included, where both samples have up to ``exact_rows`` rows, and the
+    limit's beyond.
+    """
     both = totals.where((F.col("base_total") > 0) & (F.col("current_total") > 0))
-    return both.agg(*ks_columns(value)).withColumn(
-        "ks_pvalue", ks_pvalue(F.col("ks_stat"), F.col("n_base"), F.col("n_current"))
+    found = both.agg(
+        *ks_columns(value),
+        kolmogorov.ties_if_few(value, most=exact_rows).alias("ties"), kolmogorov.farthest(most=exact_rows).alias("far"),
+    )
+    sizes = (F.col("n_base"), F.col("n_current"))
+    exact = kolmogorov.exact_pvalue(F.col("ties"), *sizes, F.col("far"))
+    return found.select(
+        "ks_stat", "n_base", "n_current", F.coalesce(exact, ks_pvalue(F.col("ks_stat"), *sizes)).alias("ks_pvalue")
     )
 
 

@@ -9,13 +9,13 @@ from pyspark.sql import functions as F
 
 from creditloom.operators import drift, labels, modelling, silver, splits
 from creditloom.plans import monitoring, scoring, stages, training
-from creditloom.sources import calendar, tables
+from creditloom.sources import calendar, tables, versions
 from creditloom.sources.session import tune
 
 RULES = {"cast_first": silver.CAST_FIRST, "strip_first": silver.STRIP_FIRST}
 RECIPES = {
     r.name: r
-    for r in (training.RANDOM_FOREST, training.RANDOM_FOREST_SCALED, training.GRADIENT_BOOSTING, training.LOGISTIC)
+    for r in (training.RANDOM_FOREST, training.RANDOM_FOREST_SCALED, training.GRADIENT_BOOSTING, training.BOOSTED, training.LOGISTIC)
 }
 KEY = ["loan_id", "Customer_ID", "snapshot_date"]
 
@@ -51,6 +51,7 @@ def parser() -> argparse.ArgumentParser:
             sub.add_argument(f"--{table}", required=True, help="source CSV")
         if name == "backfill":
             sub.add_argument("--rules", choices=RULES, default="strip_first")
+            sub.add_argument("--changed_only", action="store_true", help="only months whose input changed since the last backfill")
     sub = command("silver", span=True)
     sub.add_argument("--rules", choices=RULES, default="strip_first")
     sub.add_argument("--whole", action="store_true", help="replace the whole tables")
@@ -64,6 +65,7 @@ def parser() -> argparse.ArgumentParser:
     sub.add_argument("--train_date", required=True)
     sub.add_argument("--n_iter", type=int, default=100)
     sub.add_argument("--cv_folds", type=int, default=3)
+    sub.add_argument("--at_once", type=int, default=16, help="models of the search that grow in one pass")
     sub = command("train")
     sub.add_argument("--recipe", choices=RECIPES, required=True)
     sub.add_argument("--train_date", required=True)
@@ -71,6 +73,8 @@ def parser() -> argparse.ArgumentParser:
     sub.add_argument("--sample_frac", type=float, default=0.3)
     sub.add_argument("--n_iter", type=int, default=10)
     sub.add_argument("--cv_folds", type=int, default=5)
+    sub.add_argument("--parallelism", type=int, default=2, help="fits of the search at a time")
+    sub.add_argument("--at_once", type=int, default=16, help="boosted models of the search that grow in one pass")
     sub.add_argument("--random_state", type=int, default=42)
     for part, months in (("train", 8), ("val", 2), ("test", 2), ("oot", 2)):
         sub.add_argument(f"--{part}_months", type=int, default=months)
@@ -85,6 +89,8 @@ def parser() -> argparse.ArgumentParser:
     sub.add_argument("--label_col", default="label")
     sub.add_argument("--psi_warn", type=float, default=drift.PSI_WARN)
     sub.add_argument("--psi_crit", type=float, default=drift.PSI_CRITICAL)
+    sub = command("version-tables")
+    sub.add_argument("--vacuum", type=int, metavar="KEEP", help="remove what the last KEEP commits do not name")
     sub = command("retrain-check")
     sub.add_argument("--as_of", default=date.today().isoformat())
     return top
@@ -142,7 +148,10 @@ def main(argv: list[str] | None = None) -> int:
     if args.stage == "bronze":
         stages.ingest(sources_of(spark, args), layout, span_of(args))
     elif args.stage == "backfill":
-        stages.backfill(spark, sources_of(spark, args), layout, args.start, args.end, RULES[args.rules])
+        made = stages.backfill(
+            spark, sources_of(spark, args), layout, args.start, args.end, RULES[args.rules], force=not args.changed_only
+        )
+        print("months made:", ", ".join(made) or "none")
     elif args.stage == "silver":
         stages.refine(spark, layout, RULES[args.rules], span_of(args), args.whole)
     elif args.stage == "gold":
@@ -155,13 +164,15 @@ def main(argv: list[str] | None = None) -> int:
         print("built" if built else "no data")
     elif args.stage == "train-monthly":
         windows, data = monthly_rows(spark, layout, args.train_date)
-        search = training.Search(args.n_iter, args.cv_folds, "balanced_accuracy", seed=42)
-        finish_training(spark, layout, training.train(data, training.MONTHLY, KEY, search=search), args, windows)
+        search = training.Search(args.n_iter, args.cv_folds, "balanced_accuracy", seed=42, at_once=args.at_once)
+        work = layout.search(f"{training.model_version(args.train_date)}_{training.MONTHLY.name}")
+        finish_training(spark, layout, training.train(data, training.MONTHLY, KEY, search=search, work=work), args, windows)
     elif args.stage == "train":
         windows, data = tuned_rows(spark, layout, args)
-        search = training.Search(args.n_iter, args.cv_folds, "recall", seed=args.random_state)
-        params = {"maxIter": 100} if args.recipe == "gbt" else None
-        trained = training.train(data, RECIPES[args.recipe], KEY, params, search)
+        search = training.Search(args.n_iter, args.cv_folds, "recall", args.random_state, args.parallelism, args.at_once)
+        params = {"gbt": {"maxIter": 100}, "boosted": {"n_estimators": 100}}.get(args.recipe)
+        work = layout.search(f"{training.model_version(args.train_date)}_{args.recipe}")
+        trained = training.train(data, RECIPES[args.recipe], KEY, params, search, work)
         finish_training(spark, layout, trained, args, windows)
     elif args.stage == "score":
         model, _ = training.load(spark, layout.model(args.model_name.removesuffix(".pkl")))
@@ -180,6 +191,15 @@ def main(argv: list[str] | None = None) -> int:
         out = layout.monitoring(args.model_label, args.snapshotdate)
         monitoring.write_report(row, out)
         return spark.read.json(f"{out}/monitor_report").select("exit_code").first()[0]
+    elif args.stage == "version-tables":
+        for path, by in layout.snapshot_tables():
+            table = versions.VersionedTable(spark, path, by)
+            if versions.is_versioned(spark, path):
+                removed = table.vacuum(args.vacuum) if args.vacuum else 0
+                print(f"{path}: {len(table.pointers())} partitions, {removed} versions removed")
+            elif tables.exists(spark, path):
+                table.adopt()
+                print(f"{path}: versioned")
     elif args.stage == "retrain-check":
         runs = stages.optional(lambda: tables.read_table(spark, layout.runs))
         needed = True if runs is None else drift.retrain_needed(runs, args.as_of).first()["retrain"]

@@ -46,7 +46,7 @@ def report(
     names = drift.decile_names()
     deciles = F.map_from_arrays(F.array(*map(F.lit, names)), F.col("deciles"))
     summary = F.struct("count", "mean", "std", "min", "max", "median", deciles.alias("deciles"))
-    sides = drift.summarise(drift.paired(base, current)).select("side", summary.alias("s"))
+    sides = {side: drift.summary_of(totals, side).select(summary) for side in ("base", "current")}
     shifts = drift.decile_diff(totals).agg(
         F.array_sort(F.collect_list(F.struct("decile", "base", "current", "diff"))).alias("d")
     )
@@ -59,8 +59,8 @@ def report(
         F.lit(snapshot).alias("snapshotdate"),
         F.lit(baseline).alias("baseline_date"),
         F.lit((now or datetime.now(timezone.utc)).isoformat()).alias("timestamp"),
-        sides.where(F.col("side") == "base").select("s").scalar().alias("baseline_summary"),
-        sides.where(F.col("side") == "current").select("s").scalar().alias("current_summary"),
+        sides["base"].scalar().alias("baseline_summary"),
+        sides["current"].scalar().alias("current_summary"),
         distance.scalar().alias("k"),
         index.scalar().alias("i"),
         shifts.scalar().alias("deciles"),

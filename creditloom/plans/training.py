@@ -12,17 +12,18 @@ import uuid
 from dataclasses import dataclass, field
 from datetime import datetime, timezone
 
-from pyspark.ml import Model, Pipeline, PipelineModel
+from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.evaluation import Evaluator
 from pyspark.ml.feature import OneHotEncoder, SQLTransformer, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.param import Params
-from pyspark.ml.tuning import CrossValidator
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType
 
-from creditloom.operators import metrics, modelling, splits
+from creditloom.operators import boosting, metrics, modelling, splits
+from creditloom.plans.trials import Trials
 from creditloom.sources.tables import materialise
 
 SCORE = "model_predictions"
@@ -44,14 +45,26 @@ BOOSTING_SPACE = {
     "minInstancesPerNode": (1, 10),
     "minInfoGain": (0.0, 0.5),
 }
+BOOSTED_SPACE = {
+    "max_depth": (3, 10),
+    "learning_rate": (0.01, 0.31),
+    "subsample": (0.6, 1.0),
+    "colsample": (0.6, 1.0),
+    "min_child_weight": (1, 10),
+    "gamma": (0.0, 0.5),
+    "reg_alpha": (0.0, 1.0),
+    "reg_lambda": (0.0, 1.0),
+}
 MONTHLY_SPACE = {
-    "maxIter": [25, 50],
-    "maxDepth": [2, 3],
-    "stepSize": [0.01, 0.1],
-    "subsamplingRate": [0.6, 0.8],
-    "featureSubsetStrategy": [0.6, 0.8],
-    "minInfoGain": [0.0, 0.1],
-    "minInstancesPerNode": [1, 3, 5],
+    "n_estimators": [25, 50],
+    "max_depth": [2, 3],
+    "learning_rate": [0.01, 0.1],
+    "subsample": [0.6, 0.8],
+    "colsample": [0.6, 0.8],
+    "gamma": [0.0, 0.1],
+    "min_child_weight": [1, 3, 5],
+    "reg_alpha": [0.0, 0.1, 1.0],
+    "reg_lambda": [1.0, 1.5, 2.0],
 }
 FOREST_SEED, MONTHLY_SEED = 42, 88
 
@@ -108,6 +121,32 @@ def preprocessing(train: DataFrame, inputs: Inputs) -> PipelineModel:
     return Pipeline(stages=stages).fit(train)
 
 
+MODEL_INPUTS = "model inputs"
+
+
+def tree_preprocessing(train: DataFrame, inputs: Inputs) -> tuple[PipelineModel, list[str]]:
+    """Fill, scale and one-hot encode into one array of doubles, and the names of its entries.
+
+    One-hot drops the first category in text order; a category not seen in training is an error.
+    """
+    numbers = modelling.scale_parameters(train, inputs.numeric) if inputs.scaled else {}
+    quoted = lambda text: "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+    entries, names = [], []
+    for c in inputs.numeric:
+        mean, spread = numbers.get(c, (0.0, 1.0))
+        entries.append(f"(coalesce(nanvl(cast(`{c}` as double), 0D), 0D) - {mean!r}D) / {spread!r}D")
+        names.append(c)
+    for c in inputs.categorical:
+        values = modelling.categories(train, c)
+        known = ", ".join(map(quoted, values)) or "NULL"
+        unknown = f"raise_error(concat('unknown {c}: ', coalesce(cast(`{c}` as string), 'NULL')))"
+        for v in values[1:]:
+            entries.append(f"CASE WHEN cast(`{c}` as string) IN ({known}) THEN cast(cast(`{c}` as string) = {quoted(v)} as double) ELSE {unknown} END")
+            names.append(f"{c}_{v}")
+    fill = SQLTransformer(statement=f"SELECT *, array({', '.join(entries)}) AS `{MODEL_INPUTS}` FROM __THIS__")
+    return PipelineModel(stages=[fill]), names
+
+
 def input_names(df: DataFrame) -> list[str]:
     """Names of the assembled inputs, in vector order, from the column's own metadata."""
     groups = df.schema["features"].metadata["ml_attr"]["attrs"]
@@ -140,6 +179,7 @@ class Recipe:
     weight: str
     space: dict
     seed: int = FOREST_SEED
+    second_order: bool = False
 
     def estimator(self, params: dict | None = None):
         common = {"featuresCol": "features", "labelCol": "label", "weightCol": "weight"}
@@ -155,7 +195,8 @@ RANDOM_FOREST = Recipe("random_forest", TREE_INPUTS, "balanced_weight", FOREST_S
 RANDOM_FOREST_SCALED = Recipe("random_forest_scaled", LINEAR_INPUTS, "balanced_weight", FOREST_SPACE)
 GRADIENT_BOOSTING = Recipe("gbt", TREE_INPUTS, "positive_weight", BOOSTING_SPACE)
 LOGISTIC = Recipe("logistic", LINEAR_INPUTS, "balanced_weight", {"regParam": (0.0, 0.1), "elasticNetParam": (0.0, 1.0)})
-MONTHLY = Recipe("monthly_gbt", None, "unweighted", MONTHLY_SPACE, MONTHLY_SEED)
+BOOSTED = Recipe("boosted", TREE_INPUTS, "positive_weight", BOOSTED_SPACE, second_order=True)
+MONTHLY = Recipe("monthly_gbt", None, "unweighted", MONTHLY_SPACE, MONTHLY_SEED, second_order=True)
 
 
 # -- random search ----------------------------------------------------------------------------
@@ -183,25 +224,31 @@ def draw(space: dict, n: int, seed: int) -> list[dict]:
     return settings
 
 
+def hard_score(counts, metric: str) -> float:
+    """Recall, or balanced accuracy (the ROC-AUC of hard decisions), from tp, p, tn and n."""
+    recall = counts["tp"] / counts["p"] if counts["p"] else 0.0
+    if metric == "recall":
+        return recall
+    return (recall + (counts["tn"] / counts["n"] if counts["n"] else 0.0)) / 2
+
+
+def decision_counts(hit: Column, truth: Column) -> list[Column]:
+    return [
+        F.count_if(hit & truth).alias("tp"), F.count_if(truth).alias("p"),
+        F.count_if(~hit & ~truth).alias("tn"), F.count_if(~truth).alias("n"),
+    ]
+
+
 class HardScore(Evaluator):
-    """Recall, or balanced accuracy (the ROC-AUC of hard decisions), from one aggregate."""
+    """``hard_score`` of a scored frame, from one aggregate."""
 
     def __init__(self, metric: str = "recall"):
         super().__init__()
         self.metric = metric
 
     def _evaluate(self, dataset: DataFrame) -> float:
-        hit, truth = F.col("prediction") == 1, F.col("label") == 1
-        counts = dataset.agg(
-            F.count_if(hit & truth).alias("tp"),
-            F.count_if(truth).alias("p"),
-            F.count_if(~hit & ~truth).alias("tn"),
-            F.count_if(~truth).alias("n"),
-        ).first()
-        recall = counts.tp / counts.p if counts.p else 0.0
-        if self.metric == "recall":
-            return recall
-        return (recall + (counts.tn / counts.n if counts.n else 0.0)) / 2
+        counts = dataset.agg(*decision_counts(F.col("prediction") == 1, F.col("label") == 1)).first()
+        return hard_score(counts, self.metric)
 
 
 @dataclass(frozen=True)
@@ -211,6 +258,8 @@ class Search:
     metric: str = "recall"
     seed: int = 42
     parallelism: int = 2
+    #: Models of second-order boosting that grow in one pass.
+    at_once: int = 16
 
 
 def param_map(estimator: Params, setting: dict) -> dict:
@@ -219,27 +268,48 @@ def param_map(estimator: Params, setting: dict) -> dict:
     }
 
 
-def random_search(recipe: Recipe, matrix: DataFrame, search: Search, params: dict | None = None) -> tuple[dict, float, list[float], Model]:
+def random_search(recipe: Recipe, matrix: DataFrame, search: Search, params: dict | None = None, trials: Trials | None = None):
     """Best setting, its cross-validated score, the score of every setting, and the model fitted
-    with the best on all rows.
+    with the best on all rows (of second-order boosting an ``Ensemble``).
 
-    ``params`` are fixed parameters that every setting is tried with.  ``matrix`` holds features,
-    label, weight and fold.
+    ``params`` are fixed parameters that every setting is tried with.  ``matrix`` holds the inputs,
+    label, weight and fold, and is read anew by every trial.  What ``trials`` already has a score
+    for is not fitted again.
     """
-    estimator = recipe.estimator(params)
     settings = draw(recipe.space, search.n_iter, search.seed)
-    validator = CrossValidator(
-        estimator=estimator,
-        estimatorParamMaps=[param_map(estimator, s) for s in settings],
-        evaluator=HardScore(search.metric),
-        numFolds=search.folds,
-        foldCol="fold",
-        parallelism=search.parallelism,
-    )
-    searched = validator.fit(matrix)
-    scores = [float(m) for m in searched.avgMetrics]
-    best = max(range(len(settings)), key=lambda i: scores[i])
-    return settings[best], scores[best], scores, searched.bestModel
+    trials = trials or Trials(matrix.sparkSession, None)
+    wanted = [(d, f) for d in range(len(settings)) for f in range(search.folds)]
+    if recipe.second_order:
+        cuts = boosting.cut_points(matrix, MODEL_INPUTS)
+
+        def grow(some: list[boosting.Setting]) -> list[boosting.Ensemble]:
+            return boosting.fit(matrix, some, ["row"], MODEL_INPUTS, cuts)
+
+        def try_out(part: list[tuple[int, int]]) -> list[float]:
+            models = grow([boosting.Setting.of({**(params or {}), **settings[d]}, seed=recipe.seed, fold=f) for d, f in part])
+            judged = boosting.decisions(matrix, models, MODEL_INPUTS)
+            found = judged.groupBy("model").agg(*decision_counts(F.col("hit"), F.col("label") == 1)).collect()
+            counts = {row["model"]: row for row in found}
+            nothing = {"tp": 0, "p": 0, "tn": 0, "n": 0}
+            return [hard_score(counts.get(k, nothing), search.metric) for k in range(len(part))]
+
+        scores = trials.run(wanted, try_out, search.at_once, 1)
+    else:
+        estimator, evaluator = recipe.estimator(params), HardScore(search.metric)
+
+        def try_out(part: list[tuple[int, int]]) -> list[float]:
+            (d, f), = part
+            fitted = estimator.fit(matrix.filter(F.col("fold") != f), param_map(estimator, settings[d]))
+            return [evaluator.evaluate(fitted.transform(matrix.filter(F.col("fold") == f)))]
+
+        scores = trials.run(wanted, try_out, 1, search.parallelism)
+    means = [sum(scores[d, f] for f in range(search.folds)) / search.folds for d in range(len(settings))]
+    best = max(range(len(settings)), key=lambda i: means[i])
+    if recipe.second_order:
+        model = grow([boosting.Setting.of({**(params or {}), **settings[best]}, seed=recipe.seed)])[0]
+    else:
+        model = estimator.fit(matrix, param_map(estimator, settings[best]))
+    return settings[best], means[best], means, model
 
 
 # -- training ---------------------------------------------------------------------------------
@@ -259,13 +329,16 @@ class Trained:
     importance: list[tuple[str, float]]
 
 
-def probability(column: str = "probability") -> Column:
-    return vector_to_array(F.col(column))[1]
+def probability(scored: DataFrame, column: str = "probability") -> Column:
+    """The probability of default; second-order boosting gives an array, MLlib a vector."""
+    found = F.col(column)
+    return (found if isinstance(scored.schema[column].dataType, ArrayType) else vector_to_array(found))[1]
 
 
 def score(model: PipelineModel, df: DataFrame) -> DataFrame:
     """Add the probability of default; all other columns of ``df`` stay."""
-    scored = model.transform(df).withColumn(SCORE, probability())
+    scored = model.transform(df)
+    scored = scored.withColumn(SCORE, probability(scored))
     return scored.select(*[modelling.named(c) for c in df.columns], SCORE)
 
 
@@ -275,17 +348,22 @@ def train(
     key: list[str],
     params: dict | None = None,
     search: Search | None = None,
+    work: str | None = None,
 ) -> Trained:
     """Fit on the ``train`` split of ``data``, optionally after a random search, and evaluate on
     every split.
 
-    ``data`` holds key, ``split``, ``label`` and the inputs.
+    ``data`` holds key, ``split``, ``label`` and the inputs.  ``work`` is a folder for the search:
+    a search that was cut off goes on there with the rows and folds that it had.
     """
     inputs = recipe.inputs or Inputs(modelling.monthly_features(data), scaled=True)
     columns = [*key, "split", "label", *inputs.names]
     rows = materialise(data.select(*[modelling.named(c) for c in columns]), "training-rows")
     train_rows = rows.where(F.col("split") == "train")
-    prepared = preprocessing(train_rows, inputs)
+    if recipe.second_order:
+        prepared, names = tree_preprocessing(train_rows, inputs)
+    else:
+        prepared = preprocessing(train_rows, inputs)
 
     if recipe.weight == "unweighted":
         train_rows = train_rows.withColumn("weight", F.lit(1.0))
@@ -295,21 +373,36 @@ def train(
         train_rows = splits.stratified_folds(train_rows, key, folds=search.folds, seed=search.seed)
     extra = ["fold"] if search else []
     transformed = prepared.transform(train_rows)
-    names = input_names(transformed)
-    inputs_only = transformed.select("features", F.col("label").cast("double").alias("label"), "weight", *extra)
-    matrix = materialise(inputs_only, "training-matrix")
+    label = F.col("label").cast("double").alias("label")
+    if recipe.second_order:
+        inputs_only = transformed.select(F.xxhash64(*key).alias("row"), MODEL_INPUTS, label, "weight", *extra)
+    else:
+        names = input_names(transformed)
+        inputs_only = transformed.select("features", label, "weight", *extra)
 
     setting, cv_score = dict(params or {}), None
     if search:
-        found, cv_score, _, fitted = random_search(recipe, matrix, search, setting)
+        what = json.dumps([recipe.name, recipe.space, setting, search.n_iter, search.folds, search.metric, search.seed])
+        trials = Trials(data.sparkSession, work, what)
+        matrix = trials.rows(inputs_only)
+        found, cv_score, _, fitted = random_search(recipe, matrix, search, setting, trials)
         setting = {**setting, **found}
     else:
-        fitted = recipe.estimator(setting).fit(matrix)
+        matrix = materialise(inputs_only, "training-matrix")
+        if recipe.second_order:
+            fitted = boosting.fit(matrix, [boosting.Setting.of(setting, seed=recipe.seed)], ["row"], MODEL_INPUTS)[0]
+        else:
+            fitted = recipe.estimator(setting).fit(matrix)
+    ensemble = fitted if recipe.second_order else None
+    if ensemble:
+        fitted = SQLTransformer(statement=ensemble.statement(f"`{MODEL_INPUTS}`"))
     model = PipelineModel(stages=[*prepared.stages, fitted])
 
     scored = materialise(score(model, rows).select("split", "label", SCORE), "training-scores")
     importance = []
-    if hasattr(fitted, "featureImportances"):
+    if ensemble:
+        importance = list(zip(names, ensemble.importance()))
+    elif hasattr(fitted, "featureImportances"):
         importance = list(zip(names, map(float, fitted.featureImportances.toArray())))
     elif hasattr(fitted, "coefficients"):
         importance = [(n, abs(float(c))) for n, c in zip(names, fitted.coefficients.toArray())]
