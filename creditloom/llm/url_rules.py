@@ -1,8 +1,8 @@
 """URL filters by a sort-merge range join.
 
-A host with its labels in reverse ("com,example,www,") is the canonical key.  A rule's host is a
-prefix of the keys of itself and all its subdomains, so it is an interval of the sorted keys, and
-two intervals nest or are apart.  URLs are dealt out by ranges of (key, hash), so one host's URLs may
+A host with its labels in reverse, each ended by a zero byte, is the canonical key; zero bytes and
+backslashes of the host itself are escaped.  A rule's host is a prefix of the keys of itself and all
+its subdomains, so it is an interval of the sorted keys, and two intervals nest or are apart.  URLs are dealt out by ranges of (key, hash), so one host's URLs may
 spread over many tasks; a rule goes to every range that its interval meets.  Each range is then one
 sorted sweep with a stack of the rules that are open at the present key, outermost first.
 
@@ -35,6 +35,9 @@ RULES = [
 ]
 
 
+END = "\x00"
+
+
 def host_of(url: Column) -> Column:
     return F.translate(F.coalesce(F.regexp_extract(url, r"(?s)^.*?://([^/?#]*)", 1), F.lit("")), UPPER, LOWER)
 
@@ -44,8 +47,9 @@ def path_of(url: Column) -> Column:
 
 
 def canonical(host: Column) -> Column:
-    """Labels in reverse, each with a comma after it; empty for no host."""
-    reverse = F.concat(F.array_join(F.reverse(F.split(host, r"\.", -1)), ","), F.lit(","))
+    """Labels in reverse, each with END after it; empty for no host."""
+    safe = F.replace(F.replace(host, F.lit("\\"), F.lit("\\\\")), F.lit(END), F.lit("\\0"))
+    reverse = F.concat(F.array_join(F.reverse(F.split(safe, r"\.", -1)), END), F.lit(END))
     return F.when(host == "", F.lit("")).otherwise(reverse)
 
 
@@ -58,7 +62,7 @@ def judge(pages: DataFrame, rules: DataFrame, default: str = "allow", ranges: in
     url = pages["url"].cast("string")
     row = F.struct(*[pages[f"`{c}`"] for c in pages.columns])
     keyed = pages.select(row.alias("row"), host_of(url).alias("host"), path_of(url).alias("path"))
-    keyed = keyed.select(canonical(F.col("host")).alias("key"), F.xxhash64("row").alias("salt"), "host", "path", "row")
+    keyed = keyed.select(canonical(F.col("host")).alias("key"), F.rand(17).alias("salt"), "host", "path", "row")
     ranges = ranges or int(spark.conf.get("spark.sql.shuffle.partitions"))
     # written down, since the ranges are drawn anew whenever they are computed
     dealt = materialise(keyed.repartitionByRange(ranges, "key", "salt").withColumn("range", F.spark_partition_id()), "urls")
