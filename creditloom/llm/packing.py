@@ -20,6 +20,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from creditloom.llm.text import SPACES, WordIds, kept, lower_ascii, prefix_hash, range_hash, slices, word_table, words
 from creditloom.sources.tables import materialise
@@ -84,7 +85,7 @@ def tokenise(docs: DataFrame, tokenizer: str, end_id: int = 1, longest: int = 40
 
     os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
     narrow = docs.select("doc_id", F.col("text").cast("string").cast("binary").alias("text"))
-    key = {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string()}[dict(narrow.dtypes)["doc_id"]]
+    key = to_arrow_type(narrow.schema["doc_id"].dataType)
     schema = _piece_schema(key, with_ids)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -181,7 +182,7 @@ def pack(pieces: DataFrame, capacity: int = 4096, open_bins: int = OPEN_BINS) ->
         raise ValueError("item, rank, bin, base and open are used for the packing itself")
     # numbers given while writing, so that later reads agree on them
     numbered = materialise(pieces.withColumn("item", F.monotonically_increasing_id()), "pieces")
-    items = numbered.select("item", "length", F.xxhash64("doc_id", "piece").alias("rank"))
+    items = numbered.select("item", "length", F.xxhash64("item").alias("rank"))
     count = numbered.count()
     tasks = max(1, -(-count // ROWS_PER_TASK))
     placed = materialise(_round(items, tasks, 0, capacity, open_bins), "packed")
