@@ -77,6 +77,7 @@ def op9_suffix_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
         "row.doc_id", "n_bytes", "n_removed",
         F.size("removed").cast("long").alias("n_spans"),
         F.sha2("kept", 256).alias("kept_sha256"),
+        F.make_valid_utf8(F.col("kept").cast("string")).alias("text"),  # of a character that a cut parts, a mark stays
     )
 
 

@@ -39,15 +39,22 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from creditloom.llm.text import annotate, kept, mix, prefix_hash, slices
+from creditloom.operators.joins import many_to_one
 from creditloom.sources.tables import materialise
 
 LENGTH = 400
-WIDTH = 301  # windows that may share an anchor; the anchor's gram has LENGTH - WIDTH + 1 bytes
+WIDTH = 300  # windows that may share an anchor, at most; the anchor's gram has length - width + 1 bytes
+LEAST_GRAM = 16
 NARROWER = 7  # a crowded anchor's windows are cut into so many ranges
 CROWD = 20_000  # different strings that one task may order together
 STRINGS_PER_BUCKET = 10_000
 BLOCK = 1 << 20
 
+def width_of(length: int) -> int:
+    """How many windows of ``length`` bytes may share an anchor."""
+    return max(1, min(WIDTH, length * 3 // 4, length - LEAST_GRAM + 1))
+
+
 SPANS = "array<struct<start:long,end:long>>"
 
 
@@ -114,7 +121,7 @@ def _strings(texts: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
     """Each wanted run's string: (h, skey, at, tkey, m, lo, hi, times, bytes); bytes once for each skey and task."""
     entry = F.struct("h", "m", "lo", "hi", "times")
     lists = wanted.groupBy("tkey").agg(F.collect_list(entry).alias("runs"))
-    joined = texts.join(lists, "tkey")
+    joined = many_to_one(texts, lists, ["tkey"])  # one text may have very many copies
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         texts_seen: set[int] = set()
@@ -283,10 +290,10 @@ def _pieces(crowded: DataFrame, length: int, width: int, narrow: int) -> DataFra
     return crowded.select("h", "skey", "at", "weight", "bytes").mapInArrow(run, ddl)
 
 
-def repeats(strings: DataFrame, length: int = LENGTH, width: int = WIDTH, crowd: int = CROWD) -> DataFrame:
+def repeats(strings: DataFrame, length: int, width: int, crowd: int = CROWD) -> DataFrame:
     """(h, skey, ranges) of weighted strings (h, skey, at, weight, bytes), each skey once."""
     sizes = strings.groupBy("h").agg(F.count("*").alias("members"), F.sum("weight").alias("total")).filter("total > 1")
-    met = materialise(strings.join(sizes, "h"), "met")
+    met = materialise(many_to_one(strings, sizes, ["h"]), "met")
     size = met.agg(F.sum(F.when(F.col("members") <= crowd, 1)), F.max("members")).first()
     found = _ordered(met.filter(F.col("members") <= crowd), length, width, max(1, -(-(size[0] or 0) // STRINGS_PER_BUCKET)))
     if (size[1] or 0) <= crowd:
@@ -305,13 +312,16 @@ def repeats(strings: DataFrame, length: int = LENGTH, width: int = WIDTH, crowd:
     return found.unionByName(above)
 
 
-def spans(docs: DataFrame, length: int = LENGTH, width: int = WIDTH, crowd: int = CROWD) -> DataFrame:
+def spans(docs: DataFrame, length: int = LENGTH, width: int | None = None, crowd: int = CROWD) -> DataFrame:
     """(tkey, spans): byte ranges of repeats in each different text that has any; tkey is xxhash64 of the text."""
+    width = width_of(length) if width is None else width
     texts = docs.select(F.xxhash64("text").alias("tkey"), F.col("text").cast("string").cast("binary").alias("text"))
     texts = texts.filter(F.length("text") >= length)
     runs = materialise(_anchored(texts, length, width), "anchors")
     again = runs.groupBy("h").agg(F.count("*").alias("n")).filter("n > 1").select("h")
-    wanted = runs.join(again, "h", "left_semi").groupBy("h", "tkey", "m", "lo", "hi").agg(F.count("*").alias("times"))
+    # counted first, so that the join, which one anchor may crowd, has exchanges of its own
+    counted = runs.groupBy("h", "tkey", "m", "lo", "hi").agg(F.count("*").alias("times"))
+    wanted = many_to_one(counted, again.withColumn("again", F.lit(True)), ["h"]).drop("again")
     cut = materialise(_strings(texts, wanted, length), "strings")
     held = cut.select("h", "skey", "tkey", "m", "lo", "hi", "times").distinct()
     weights = held.groupBy("h", "skey").agg(F.sum("times").alias("weight"))
@@ -335,7 +345,7 @@ def removed(docs: DataFrame, length: int = LENGTH, keep: list[str] | None = None
     row = F.struct(*[docs[f"`{c}`"] for c in columns])
     keyed = docs.select(row.alias("row"), docs["text"].alias("text"), F.xxhash64(docs["text"]).alias("tkey"))
     found = spans(docs.select("text"), length)
-    joined = keyed.join(found, "tkey", "left").select("row", "text", "spans")
+    joined = many_to_one(keyed, found, ["tkey"], "left").select("row", "text", "spans")
 
     def run(rows: pa.RecordBatch, raw: np.ndarray, off: np.ndarray) -> list:
         data, lists = raw.tobytes(), rows.column("row").field("spans")
