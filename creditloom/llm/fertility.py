@@ -1,10 +1,12 @@
 """Quality rules: a base of word and line rules, then how well a public vocabulary fits the text.
 
 ``measure`` encodes every word of the whole text with a public vocabulary that falls back to bytes
-and takes characters per token, the share of byte tokens and the entropy of the token distribution.
+and takes characters per token, letters per token, the share of byte tokens and the entropy of the
+token distribution.  Letters per token tell prose from text that is full of marks: runs of marks are
+characters as well, but take tokens without giving letters.
 ``judge`` rejects what lies outside the band of the text's language or, failing that, its script.
-Text a vocabulary was not made for (symbol noise, broken encodings, random letters) breaks into
-short tokens or bytes; text that repeats a few tokens has low entropy.  A text of n tokens has at
+Text a vocabulary was not made for (broken encodings, random letters) breaks into short tokens or
+bytes, and symbol noise into tokens without letters; text that repeats a few tokens has low entropy.  A text of n tokens has at
 most log2(n) bits, so the least entropy is the band's or ENTROPY_SHARE of that, whichever is lower.
 
 One pass, no shuffle, nothing kept between texts but a bounded table of encoded words.
@@ -43,27 +45,31 @@ _SCRIPT = np.full(256, len(SCRIPTS), np.uint8)
 for _k, _bytes in enumerate(SCRIPTS.values()):
     _SCRIPT[_bytes] = _k
 
-#: (least characters per token, most, most byte tokens per cent, least entropy in bits of a long text); None: no bound.
-Band = tuple[float | None, float | None, float | None, float | None]
+#: First bytes of letters; characters beyond ASCII count as such.
+_LETTERS = np.zeros(256, bool)
+_LETTERS[[*range(0x41, 0x5B), *range(0x61, 0x7B), *range(0xC2, 0x100)]] = True
+
+#: (least characters per token, most, most byte tokens per cent, least entropy in bits of a long text, least letters per token); None: no bound.
+Band = tuple[float | None, float | None, float | None, float | None, float | None]
 SCRIPT_BANDS: dict[str, Band] = {
-    "latin": (1.5, 8.0, 5.0, 3.5),
-    "greek": (0.7, 4.0, 60.0, 3.5),
-    "cyrillic": (0.9, 6.0, 30.0, 3.5),
-    "semitic": (0.5, 4.0, 60.0, 3.5),
-    "indic": (0.3, 3.0, 90.0, 3.0),
-    "cjk": (0.3, 3.0, 80.0, 3.5),
-    "other": (0.3, 12.0, 50.0, 3.5),
+    "latin": (1.5, 8.0, 5.0, 3.5, 1.3),
+    "greek": (0.7, 4.0, 60.0, 3.5, 0.6),
+    "cyrillic": (0.9, 6.0, 30.0, 3.5, 0.8),
+    "semitic": (0.5, 4.0, 60.0, 3.5, 0.4),
+    "indic": (0.3, 3.0, 90.0, 3.0, 0.2),
+    "cjk": (0.3, 3.0, 80.0, 3.5, 0.2),
+    "other": (0.3, 12.0, 50.0, 3.5, None),
 }
 LANGUAGE_BANDS: dict[str, Band] = {
-    "en": (1.7, 8.0, 2.0, 5.2),
-    "de": (1.7, 8.0, 3.0, 5.2),
-    "fr": (1.55, 8.0, 3.0, 5.2),
-    "es": (1.65, 8.0, 3.0, 5.2),
+    "en": (1.7, 8.0, 2.0, 5.2, 1.4),
+    "de": (1.7, 8.0, 3.0, 5.2, 1.4),
+    "fr": (1.55, 8.0, 3.0, 5.2, 1.3),
+    "es": (1.65, 8.0, 3.0, 5.2, 1.3),
 }
 
 MEASURES = (
     "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, "
-    "n_tokens long, chars_per_token double, byte_share double, token_entropy double, script string"
+    "n_tokens long, chars_per_token double, byte_share double, token_entropy double, script string, letters_per_token double"
 )
 
 def _vocabulary(path: str):
@@ -137,16 +143,18 @@ def measure(docs: DataFrame, vocabulary: str, keep: list[str] | None = None) ->
             pa.array(per_text(is_byte[flat], tokens) / at_least_one, mask=~some),
             pa.array([entropy(flat[s:e]) if e > s else 0.0 for s, e in zip(tokens[:-1].tolist(), tokens[1:].tolist())], mask=~some),
             pa.array(names[scripts.argmax(axis=0)], pa.string()),
+            pa.array(per_text(_LETTERS[raw], off) / at_least_one, mask=~some),
         ]
 
     return annotate(docs, run, MEASURES, keep)
 
 
 def _within(band: Band) -> Column:
-    least, most, byte_share, bits = band
+    least, most, byte_share, bits, letters = band
     per_token = F.col("chars_per_token")
     tests = [(least, per_token >= F.lit(least)), (most, per_token <= F.lit(most))]
     floor = F.least(F.lit(bits), ENTROPY_SHARE * F.log2("n_tokens"))
+    tests += [(letters, F.col("letters_per_token") >= F.lit(letters))]
     tests += [(byte_share, 100 * F.col("byte_share") <= F.lit(byte_share)), (bits, F.col("token_entropy") >= floor)]
     inside = F.lit(True)
     for bound, test in tests:
