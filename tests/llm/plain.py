@@ -36,6 +36,23 @@ def base_rules(text):
     )
 
 
+def well_fitted(text, model, band):
+    """The fertility verdict of a text that passes the base rules, token by token."""
+    import math
+
+    ids = [i for w in text.split() for i in model.encode(w)]
+    least, most, share, bits, letters = band
+    count = Counter(ids)
+    entropy = -sum(n / len(ids) * math.log2(n / len(ids)) for n in count.values())
+    per_token = len("".join(blank_words(text)[k].decode() for k in range(len(blank_words(text))))) / len(ids)
+    lettered = sum(c.isalpha() for c in text) / len(ids)
+    odd = sum(model.is_byte(i) for i in ids)
+    return (
+        least <= per_token <= most and 100 * odd <= share * len(ids) and entropy >= min(bits, 0.7 * math.log2(len(ids)))
+        and lettered >= letters
+    )
+
+
 def hits(text, items, n=10):
     """(n_words, n_hit, item ids)."""
     words = CONTENT.findall(lower((text or "").encode()))
