@@ -212,3 +212,33 @@ def test_other_rows_are_another_search(spark, data, tmp_path):
     two.rows(frame.filter("id > 0"))
     assert one.done() == {(0, 0): 0.5, (1, 0): 0.25} and two.done() == {}
     assert json.dumps(sorted(x.name for x in tmp_path.iterdir())).count("search=") == 2
+
+
+def test_scoring_makes_the_inputs_once(spark):
+    """Inputs that are expressions are bound before the trees are walked, not made anew at each node."""
+    rows = spark.createDataFrame([(k, [float(k), 1.0], float(k > 5), 1.0, 0) for k in range(10)], ROWS)
+    model = boosting.fit(rows, [Setting(n_estimators=2, max_depth=2)], ["id"])[0]
+    made = rows.select("id", F.array(F.sqrt(F.col("id") * F.col("id")), F.lit(1.0)).alias("inputs"))
+    scored = SQLTransformer(statement=model.statement()).transform(made).select("id", F.col("probability")[1].alias("p"))
+    plan = scored._jdf.queryExecution().optimizedPlan().toString()
+    assert "SQRT" in plan and "SQRT" not in plan[plan.index("aggregate(") :].split("\n")[0]
+    got = {r.id: r.p for r in scored.collect()}
+    assert got[9] > 0.5 > got[0]
+
+
+def test_tasks_add_up_before_the_shuffle(spark, monkeypatch):
+    """The sums that tasks take by numpy give the trees of the sums over exploded rows, also with folds that are null."""
+    rows = spark.createDataFrame(
+        [(k, [float(k * 7 % 11), float(k * 5 % 13), 3.0], float(k * 7 % 11 > 4), 1.0 + k % 3, None if k % 10 == 9 else k % 2) for k in range(200)], ROWS
+    ).repartition(5)
+    settings = [Setting(n_estimators=10, max_depth=2, colsample=0.7, subsample=0.8, seed=3), Setting(n_estimators=3, max_depth=3, fold=1)]
+    cuts = boosting.cut_points(rows, bins=8)
+    sums, seen = boosting._level_sums, []
+    monkeypatch.setattr(boosting, "_level_sums", lambda *a: seen.append(sums(*a)) or seen[-1])
+    quick = boosting.fit(rows, settings, ["id"], cuts=cuts)
+    assert seen and all("Generate" not in s._jdf.queryExecution().optimizedPlan().toString() for s in seen)
+    monkeypatch.setattr(boosting, "TASK_CELLS", 0)
+    for one, other in zip(quick, boosting.fit(rows, settings, ["id"], cuts=cuts)):
+        assert [(t.input, t.cut) for t in one.trees] == [(t.input, t.cut) for t in other.trees]
+        for a, b in zip(one.trees, other.trees):
+            assert a.leaf == pytest.approx(b.leaf)
