@@ -161,3 +161,19 @@ def test_text_survives_csv(spark, tmp_path):
     tables.write_csv(df.withColumn("snapshot_date", F.lit("2024-01-01").cast("date")), str(tmp_path / "a"), "attributes")
     back = tables.read_csv(spark, str(tmp_path / "a"), "attributes").collect()
     assert len(back) == 1 and all(back[0][c] == odd for c in names)
+
+
+def test_text_is_gathered_as_lines(spark, tmp_path):
+    """Text of all kinds comes back from the lines it was shuffled as, and the copy is compressed."""
+    odd = [None, "", " ", "a,b", '"', '""', "a\nb", "a\r\nb", "\r", "\\", "\\\"", "#c", "null", "é", "'", "\t", "a\"b,c\"\n"]
+    columns = [c for c in schemas.TABLE_TYPES["attributes"] if c != "snapshot_date"]
+    rows = [tuple(odd[(i + j * k) % len(odd)] for j in range(len(columns))) for k in range(3) for i in range(len(odd))]
+    df = spark.createDataFrame(rows, ", ".join(f"`{c}` string" for c in columns)).withColumn("snapshot_date", F.lit("2024-01-01").cast("date"))
+    ordered = lambda some: sorted(map(repr, some))
+    assert ordered(tables._gathered_as_text(df).collect()) == ordered(df.collect())
+    tables.write_csv(df, str(tmp_path / "a"), "attributes")
+    assert list((tmp_path / "a").glob("*/*.csv.gz")) and not list((tmp_path / "a").glob("*/*.csv"))
+    direct = tables._gathered(df.select(*schemas.TABLE_TYPES["attributes"])).write.options(**tables.CSV_TEXT).partitionBy("snapshot_date")
+    direct.csv(str(tmp_path / "b"))
+    read = [ordered(tables.read_csv(spark, str(tmp_path / x), "attributes").collect()) for x in "ab"]
+    assert read[0] == read[1]
