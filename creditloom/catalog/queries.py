@@ -578,7 +578,9 @@ def tuned_model(lake: Lake, recipe: training.Recipe, params: dict | None = None,
 
 
 def monthly_model(lake: Lake) -> training.Trained:
-    data = modelling.training_set(monthly_splits(lake), lake.features)
+    windows = calendar.month_windows(TRAIN_DATE)  # no label lies outside
+    features_then = calendar.tag_windows(lake.features, windows).drop("split")
+    data = modelling.training_set(monthly_splits(lake), features_then)
     return training.train(data, training.MONTHLY, ROW_KEY, search=SMOKE_SEARCH)
 
 
@@ -736,8 +738,9 @@ def feature_importance_topk(lake: Lake) -> DataFrame:
 def model_runs(lake: Lake) -> DataFrame:
     """Two runs appended to one table."""
     path = tables.shared_dir(lake.spark, "runs")
+    rows = tables.materialise(tuned_data(lake), "tuned-rows")
     for recipe, params in ((training.RANDOM_FOREST, FOREST), (training.LOGISTIC, {})):
-        trained = training.train(tuned_data(lake), recipe, ROW_KEY, params)
+        trained = training.train(rows, recipe, ROW_KEY, params)
         training.append_runs(training.run_log(trained, TRAIN_DATE), path)
     return settle(lake.spark.read.parquet(path).select("model_type", "train_date", "split", "metric", "value"), 6)
 
