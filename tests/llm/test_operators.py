@@ -2,6 +2,7 @@
 
 import random
 
+import numpy as np
 import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
@@ -264,6 +265,31 @@ def test_pairs_across_groups_are_met_once(spark, size, monkeypatch):
     assert got == plain.groups(rows) and len({c for _, c in got.values()}) > 1
 
 
+def test_near_copies_leave_tasks_as_a_forest(spark, monkeypatch):
+    """What the tasks over blocks of near copies hand on has no more rows than classes went in, not one for each pair."""
+    monkeypatch.setattr(jaccard, "BLOCK_CLASSES", 6)
+    monkeypatch.setattr(jaccard, "HOLDERS", 5)
+    handed, write = {}, jaccard.materialise
+
+    def counted(df, purpose):
+        stored = write(df, purpose)
+        if purpose in ("crossing", "own-links", "hopeful"):
+            handed[purpose] = max(handed.get(purpose, 0), stored.count())
+        return stored
+
+    monkeypatch.setattr(jaccard, "materialise", counted)
+    pick = random.Random(5)
+    texts = []
+    for group in range(4):  # 15 texts share 100 shingles and have 17 of their own: just too few for a link, but one text has 15
+        base = _words(pick, 104, 3000)
+        texts += [" ".join(base + [f"own{group}x{k}x{i}" for i in range(15 if k == 7 and group < 2 else 17)]) for k in range(15)]
+    rows = list(enumerate(texts))
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard.join(spark.createDataFrame(rows, "doc_id long, text string"), links_too=False).collect()}
+    assert got == plain.groups(rows) and len({c for _, c in got.values()}) == 32
+    assert handed["crossing"] <= len(rows) and handed.get("own-links", 0) < len(rows) and handed.get("hopeful", 0) <= 2 * len(rows)
+    assert jaccard.spanning(*map(np.array, ([4, 4, 7, 9, 7], [7, 7, 9, 4, 2]))) == [0, 2, 4]
+
+
 def test_rows_without_id_and_repeated_rows(spark):
     text = " ".join(f"t{k}" for k in range(30))
     df = spark.createDataFrame([(None, text), (4, text), (4, text), (2, text + " more"), (None, None)], "doc_id long, text string")
