@@ -574,7 +574,7 @@ def quality(trained: training.Trained, rows: DataFrame) -> DataFrame:
 
 def tuned_model(lake: Lake, recipe: training.Recipe, params: dict | None = None, search=None) -> tuple[training.Trained, DataFrame]:
     rows = tables.materialise(tuned_data(lake), "tuned-rows")
-    return training.train(rows, recipe, ROW_KEY, params, search), rows
+    return training.train(rows, recipe, ROW_KEY, params, search, stored=True), rows
 
 
 def monthly_model(lake: Lake) -> training.Trained:

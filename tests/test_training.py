@@ -88,3 +88,27 @@ def test_single_forests_lie_inside_the_search_space():
     for name in ("numTrees", "maxDepth"):
         low, high = training.FOREST_SPACE[name]
         assert low <= FOREST[name] < high
+
+
+def test_forest_inputs_are_one_projection_and_rows_are_not_written_twice(spark, monkeypatch):
+    """The assembled inputs, by hand; no copy of rows that are stored; node ids kept between the passes of a forest."""
+    rows = [(float(k), c, "one", k % 2, "train") for k, c in enumerate(["b", "it's", "B", "a.b", "B", "it's", "b", "a.b"])]
+    df = spark.createDataFrame(rows, "x double, c string, d string, label int, split string").withColumn("id", F.col("x").cast("long"))
+    inputs = training.Inputs(["x"], ["c", "d"])
+    prepared = training.preprocessing(df, inputs)
+    assert len(prepared.stages) == 2
+    ready = prepared.transform(df)
+    assert training.input_names(ready) == ["x", "c_it's", "c_b", "c_a.b"]
+    assert {r.x: r.features.toArray().tolist() for r in ready.collect()} == {x: [x, float(c == "it's"), float(c == "b"), float(c == "a.b")] for x, c, *_ in rows}
+    for unseen in ("z", None):
+        with pytest.raises(Exception, match="unknown c"):
+            prepared.transform(df.withColumn("c", F.lit(unseen).cast("string"))).select("features").collect()
+
+    written, write = [], training.materialise
+    monkeypatch.setattr(training, "materialise", lambda frame, purpose: written.append(purpose) or write(frame, purpose))
+    recipe = training.Recipe("random_forest", inputs, "balanced_weight", {})
+    assert recipe.estimator().getCacheNodeIds()
+    trained = training.train(df, recipe, ["id"], {"numTrees": 2, "maxDepth": 2}, stored=True)
+    assert "training-rows" not in written and [n for n, _ in trained.importance] == ["x", "c_it's", "c_b", "c_a.b"]
+    training.train(df, recipe, ["id"], {"numTrees": 2, "maxDepth": 2})
+    assert written.count("training-rows") == 1
