@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from creditloom.llm import components, decontaminate, fertility, jaccard, langid, packing, ring, rollups, suffix, url_rules, warc
+from creditloom.llm.queries import QUERIES
 from creditloom.sources.tables import shared_dir
 from tests.llm import plain
 
@@ -358,6 +359,43 @@ def test_any_length(spark, length):
     assert left == {k: e[4].decode() for k, e in enumerate(plain.repeats(texts, length))}
 
 
+@pytest.mark.parametrize("seed, width, crowd, longer", [(4, 9, 20_000, 13), (5, 9, 20_000, 40), (6, 9, 4, 20), (7, 1, 4, 20)])
+def test_two_bounds(spark, seed, width, crowd, longer):
+    """Repeats of 12 bytes and of ``longer`` ones off one order, also where few strings are a crowd."""
+    pick = random.Random(seed)
+    some = lambda n: "".join(pick.choice("abé\n") for _ in range(n))
+    passages = [some(pick.randint(10, 60)) for _ in range(6)]
+    texts = [
+        "".join(pick.choice([some(pick.randint(0, 40)), pick.choice(passages), pick.choice(passages)[: pick.randint(1, 60)], "a" * pick.randint(0, 30)])
+                for _ in range(pick.randint(0, 6)))
+        for _ in range(100)
+    ]
+    texts += [None, "", texts[3], texts[3]]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.tkey: r for r in suffix.spans(df, 12, width, crowd, longer).collect()}
+    keys = [r[0] for r in df.orderBy("doc_id").select(F.xxhash64("text")).collect()]
+    for name, bound in (("spans", 12), ("long_spans", longer)):
+        for key, (_, removed, *_) in zip(keys, plain.repeats(texts, bound)):
+            covered = {p for s, e in (got[key][name] if key in got else []) for p in range(s, e)}
+            assert len(covered) == removed
+
+
+def test_passages_under_the_bound(spark, tmp_path):
+    """op9 marks passages of 51 to 70 words that are too short to go; what goes, and a text of one's own, stay as they were."""
+    pick = random.Random(9)
+    passages = [" ".join(_words(pick, n, 900)) for n in (51, 60, 70)]
+    passages += ["".join(pick.choices("abc", k=n)) for n in (239, 240, 399, 400, 450)]
+    texts = [f"{' '.join(_words(pick, 30, 90000))}{edge}{p}{edge}{' '.join(_words(pick, 20, 90000))}" for p in passages for edge in "|/"]
+    texts += [None, "", "x y", texts[0], "".join(pick.choices("abcdefgh", k=1_150_000))]  # the last is cut into blocks
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    rows = {r.doc_id: r for r in QUERIES["op9_suffix_columns"](spark, str(tmp_path)).collect()}
+    short = plain.repeats(texts[:-1], 240) + [(len(texts[-1]), 0, 0)]
+    for k, (long, quoted) in enumerate(zip(plain.repeats(texts[:-1], 400) + [(len(texts[-1]), 0, 0)], short)):
+        assert (rows[k].n_bytes, rows[k].n_removed, rows[k].n_spans) == long[:3]
+        assert (rows[k].n_passage, rows[k].n_passages) == quoted[1:3]
+    assert [(rows[k].n_removed, rows[k].n_passage) for k in (4, 6, 8, 10, 12)] == [(0, len(passages[2])), (0, 0), (0, 240), (0, 399), (400, 400)]
+
+
 def test_removed_and_text_columns(docs, rows, nothing):
     expected = plain.repeats([t for _, t in rows], 400)
     names = ["n_bytes", "n_removed", F.size("removed"), F.sha2("kept", 256)]
