@@ -291,6 +291,41 @@ def test_near_copies_leave_tasks_as_a_forest(spark, monkeypatch):
     assert jaccard.spanning(*map(np.array, ([4, 4, 7, 9, 7], [7, 7, 9, 4, 2]))) == [0, 2, 4]
 
 
+def test_whole_sets_are_made_of_few_texts(spark, monkeypatch):
+    """Of the texts, only those of classes to compare are taken apart again, and none to count the links that were found."""
+    monkeypatch.setattr(jaccard, "BLOCK_CLASSES", 6)
+    monkeypatch.setattr(jaccard, "HOLDERS", 5)
+    asked, read, counting, fetch, count = [], [], [], jaccard.fragments_of, jaccard.link_counts
+
+    def counts(*given):
+        found = count(*given)
+        counting.append(len(asked))
+        return found
+
+    def counted(docs, wanted, order, n):
+        asked.append([r.cid for r in wanted.select("cid").collect()])
+        read.append([r.text for r in jaccard._masked(jaccard._hashed(docs), wanted, "text_hash").collect()])
+        return fetch(docs, wanted, order, n)
+
+    monkeypatch.setattr(jaccard, "fragments_of", counted)
+    monkeypatch.setattr(jaccard, "link_counts", counts)
+    pick = random.Random(6)
+    near, rest = [], [" ".join(f"{c}{k}x{i}" for i in range(50)) for k in range(60) for c in "ab"]
+    for group in range(4):
+        base = _words(pick, 104, 3000)
+        near += [" ".join(base + [f"own{group}x{k}x{i}" for i in range(15 if k == 7 and group < 2 else 17)]) for k in range(15)]
+    near += [near[7], near[7].upper(), near[8].replace(" ", "\n")]  # of a class, but no equal texts
+    rows = [(None if k % 9 == 0 else k // 2, t) for k, t in enumerate([*near, *rest, None, ""])]
+    numbered = list(enumerate(t for _, t in rows))
+    got = sorted(((r.n_shingles, r.n_links) for r in jaccard.join(spark.createDataFrame(rows, "doc_id long, text string")).collect()))
+    sets = [plain.shingles(t) for _, t in rows]
+    link = lambda a, b: bool(a and b) and 100 * len(a & b) >= 75 * len(a | b)
+    assert got == sorted((len(sets[i]), sum(link(sets[i], sets[j]) for j, _ in numbered if j != i)) for i, _ in numbered)
+    assert asked and counting == [len(asked)]
+    assert not {x.decode() for some in read for x in some} & set(rest)
+    assert all(len(some) <= len(near) for some in read)
+
+
 def test_rows_without_id_and_repeated_rows(spark):
     text = " ".join(f"t{k}" for k in range(30))
     df = spark.createDataFrame([(None, text), (4, text), (4, text), (2, text + " more"), (None, None)], "doc_id long, text string")
