@@ -1,6 +1,7 @@
 """Each operator against a brute-force version, with the odd cases of its docstring."""
 
 import random
+import uuid
 
 import numpy as np
 import public_tokenizers
@@ -10,6 +11,7 @@ from tokenizers import Tokenizer
 
 from creditloom.llm import components, decontaminate, fertility, jaccard, langid, packing, ring, rollups, suffix, url_rules, warc
 from creditloom.llm.queries import QUERIES
+from creditloom.sources import tables
 from creditloom.sources.tables import shared_dir
 from tests.llm import plain
 
@@ -326,6 +328,23 @@ def test_whole_sets_are_made_of_few_texts(spark, monkeypatch):
     assert all(len(some) <= len(near) for some in read)
 
 
+def test_disk_holds_what_is_still_read(spark, monkeypatch, tmp_path):
+    """Of what the steps store, only what the result reads and links and counts of groups are left; the result is as it was."""
+    kept = {"classes", "sizes", "edges", "links", "others", "own-links", "block-links", "cells", "large"}
+    monkeypatch.setattr(tables, "shared_dir", lambda _, purpose: f"{tmp_path}/{purpose}/{uuid.uuid4().hex}")
+    left = lambda: {p.name for p in tmp_path.iterdir() if any(p.iterdir())}
+    pick = random.Random(12)
+    texts = []
+    for group in range(4):
+        base = _words(pick, 104, 3000)
+        texts += [" ".join(base + [f"own{group}x{k}x{i}" for i in range(15 if k == 7 and group < 2 else 17)]) for k in range(15)]
+    rows = list(enumerate([*texts, texts[0], None]))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    joined = jaccard.join(df)
+    assert left() <= kept
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in joined.collect()} == plain.groups(rows)
+
+
 def test_rows_without_id_and_repeated_rows(spark):
     text = " ".join(f"t{k}" for k in range(30))
     df = spark.createDataFrame([(None, text), (4, text), (4, text), (2, text + " more"), (None, None)], "doc_id long, text string")

@@ -1,4 +1,6 @@
 import datetime as dt
+import os
+import time
 import uuid
 
 import pytest
@@ -63,6 +65,22 @@ def test_shared_dir_follows_the_session(spark):
     assert spark.conf.get("spark.master") == spark.sparkContext.master
 
 
+def test_stored_frames_release_their_disk(spark):
+    """Shuffle files go with the write that made them, the copy with ``forget``, and the setting is as before."""
+    blocks = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    shuffled = lambda: {n for f in blocks.localDirsString() for _, _, names in os.walk(f) for n in names if n.startswith("shuffle_")}
+    before, setting = shuffled(), spark.conf.get(tables.CLEANUP)
+    stored = tables.materialise(spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count(), "counts")
+    until = time.time() + 10
+    while shuffled() - before and time.time() < until:
+        time.sleep(0.1)
+    assert not shuffled() - before and spark.conf.get(tables.CLEANUP) == setting
+    assert stored.count() == 7
+    folder = os.path.dirname(stored.inputFiles()[0].removeprefix("file://"))
+    tables.forget(None, spark.range(1), stored)
+    assert not os.path.exists(folder)
+
+
 def test_source_columns_are_found_by_name(spark, tmp_path):
     path = str(tmp_path / "src")
     spark.createDataFrame([("2024-01-01", "x", "c1")], "snapshot_date string, Name string, Customer_ID string") \
