@@ -343,6 +343,10 @@ def test_disk_holds_what_is_still_read(spark, monkeypatch, tmp_path):
     joined = jaccard.join(df)
     assert left() <= kept
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in joined.collect()} == plain.groups(rows)
+    one = jaccard.one_of_each(df)
+    assert left() <= {*kept, "found", "stay"}
+    assert len(list((tmp_path / "classes").iterdir())) == 1
+    assert sorted(r.doc_id for r in one.collect()) == sorted({c for _, c in plain.groups(rows).values()})
 
 
 def test_rows_without_id_and_repeated_rows(spark):
