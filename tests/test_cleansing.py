@@ -103,3 +103,23 @@ def test_median_is_per_snapshot_and_zero_without_values(spark):
     got = sorted((r.snapshot_date or "", r.x) for r in silver.impute_median(df, ["x"]).collect())
     assert got == [("", 4.0), ("", 4.0), ("2024-01-01", 1.0), ("2024-01-01", 3.0), ("2024-01-01", 3.0),
                    ("2024-01-01", 9.0), ("2024-02-01", 0.0)]
+
+
+def test_medians_are_taken_a_few_columns_at_a_time(spark):
+    """Seven columns, one of them without values: as by hand, and no aggregate keeps the sketches of all."""
+    names = [f"x{k}" for k in range(7)]
+    rows = [("a" if i % 3 else "b", *[None if k == 6 or (i + k) % 4 == 0 else float((i * (k + 3)) % 11) for k in range(7)]) for i in range(40)]
+    rows += [(None, *[2.0] * 7), ("c", *[None] * 7)]
+    df = spark.createDataFrame(rows, "snapshot_date string, " + ", ".join(f"{c} double" for c in names))
+
+    def median(month, k):
+        known = sorted(r[1 + k] for r in rows if r[0] == month and r[1 + k] is not None)
+        return known[(len(known) - 1) // 2] if known else 0.0
+
+    filled = silver.impute_median(df, names)
+    by_text = lambda some: sorted(map(str, some))
+    expected = [(r[0], *[median(r[0], k) if r[1 + k] is None else r[1 + k] for k in range(7)]) for r in rows]
+    assert by_text(tuple(r) for r in filled.collect()) == by_text(expected)
+    plan = filled._jdf.queryExecution().optimizedPlan().toString().split("\n")
+    sketches = [line.count("percentile_approx(") for line in plan if "percentile_approx(" in line]
+    assert len(sketches) == 3 and max(sketches) <= silver.SKETCHES_AT_ONCE
