@@ -65,7 +65,7 @@ def test_shared_dir_follows_the_session(spark):
     assert spark.conf.get("spark.master") == spark.sparkContext.master
 
 
-def test_stored_frames_release_their_disk(spark):
+def test_stored_frames_release_their_disk(spark, tmp_path):
     """Shuffle files go with the write that made them, the copy with ``forget``, and the setting is as before."""
     blocks = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
     shuffled = lambda: {n for f in blocks.localDirsString() for _, _, names in os.walk(f) for n in names if n.startswith("shuffle_")}
@@ -79,6 +79,15 @@ def test_stored_frames_release_their_disk(spark):
     folder = os.path.dirname(stored.inputFiles()[0].removeprefix("file://"))
     tables.forget(None, spark.range(1), stored)
     assert not os.path.exists(folder)
+    before = shuffled()
+    names = [c for c in schemas.TABLE_TYPES["attributes"] if c != "snapshot_date"]
+    texts = spark.range(100).select(*[F.concat(F.lit(c), "id").alias(c) for c in names], F.lit("2024-01-01").cast("date").alias("snapshot_date"))
+    tables.write_csv(texts, str(tmp_path / "a"), "attributes")
+    until = time.time() + 10
+    while shuffled() - before and time.time() < until:
+        time.sleep(0.1)
+    assert not shuffled() - before
+    assert tables.read_csv(spark, str(tmp_path / "a"), "attributes").count() == 100
 
 
 def test_source_columns_are_found_by_name(spark, tmp_path):
